@@ -319,9 +319,7 @@ def q30_alerts_blended(spark, sf):
 
 def _wire_files(spark, sf, faults=False, duplicates=False, n_files=4) -> str:
     path = new_work_path(spark, "wire")
-    src = fx.transaction_source(spark, sf)
-    wire = wire_rows(src, SPEC, faults=faults, duplicates=duplicates, keep_source_id=True)
-    wire = wire.join(src.select("event_id", "event_time"), "event_id").drop("event_id")
+    wire = wire_rows(fx.transaction_source(spark, sf), SPEC, faults=faults, duplicates=duplicates)
     runner.write_wire_files(wire, path, n_files)
     return path
 

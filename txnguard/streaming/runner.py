@@ -8,12 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from txnguard.sources.wire import WIRE_SCHEMA
 
 
-def write_wire_files(wire: DataFrame, path: str, n_files: int, order_by: str = "event_time") -> None:
-    """Range-partition wire rows by event time into ``n_files`` files (file i holds
-    earlier events than file i+1), so a one-file-per-trigger replay delivers in
-    event order and no row falls behind the watermark."""
-    (wire.repartitionByRange(n_files, order_by).drop(order_by)
-         .write.mode("overwrite").parquet(path))
+def write_wire_files(wire: DataFrame, path: str, n_files: int) -> None:
+    """Lay down wire rows as ``n_files`` files in event-time order, for a file-source
+    replay with one file per trigger.
+
+    The order key is the stream's own event time (parsed ``event_time``, or the
+    delivery time when the payload does not parse), split into equal time ranges
+    from its min/max (two scalars to the driver). Files are written one after the
+    other, because the file source orders files by modification time; a later file
+    then never holds events older than an earlier file's watermark.
+    """
+    from pyspark.sql import functions as F
+
+    from txnguard.sources.wire import PARSE_OPTIONS
+    from txnguard.schemas import TRANSACTION_SCHEMA
+
+    parsed_time = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA, PARSE_OPTIONS)["event_time"]
+    keyed = wire.withColumn("_order", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))))
+    lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
+    step = max(1, -(-(hi - lo + 1) // n_files))
+    keyed = keyed.withColumn("_file", F.floor((F.col("_order") - F.lit(lo)) / F.lit(step)))
+    for i in range(n_files):
+        (keyed.filter(F.col("_file") == i).drop("_order", "_file")
+         .coalesce(1).write.mode("append").parquet(path))
 
 
 def read_wire_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

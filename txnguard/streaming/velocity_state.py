@@ -64,9 +64,12 @@ def make_velocity_fn(cfg: ScoringConfig, key: str, out_cols: list[str]):
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if group_key[0] is None:  # rows without a sender: pass through, no state
-            out = pdf.assign(**{f.name: None for f in VELOCITY_FIELDS})
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        if group_key[0] is None:  # rows without a sender: pass through once, no state
+            out = pdf[pdf["_v_copy"] == 0].assign(**{f.name: None for f in VELOCITY_FIELDS})
             yield out[out_cols]
             return
         old_ts = np.array(state.get[0] if state.exists else [], dtype=np.int64)
