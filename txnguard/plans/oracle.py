@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from txnguard.config import FixtureSpec, ScoringConfig, duration_micros
+from txnguard.config import FixtureSpec, ModelConfig, ScoringConfig, duration_micros
 
 SPEC = FixtureSpec()
 CFG = SPEC.scoring()
@@ -322,6 +322,20 @@ SELECT feature, value, (row_number() OVER (PARTITION BY feature ORDER BY n DESC,
        n::BIGINT AS n_rows
 FROM c"""
 
+    num = ModelConfig().numeric_features
+    sev_m = "coalesce(bl_receiver_severity, (SELECT m FROM med))"
+    cols = [(c, sev_m if c == "bl_receiver_severity" else c) for c in num]
+    cols += [("txn_type", "ti"), ("channel", "ci")]
+    std_rows = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS feature, round(stddev_samp(({expr})::DOUBLE), 6) AS std FROM f" for name, expr in cols)
+    q["q26_scale"] = f"""{all_rows},
+train AS (SELECT * FROM scored WHERE event_time < {cut}),
+med AS (SELECT quantile_disc(bl_receiver_severity, 0.5) AS m FROM train),
+it AS (SELECT txn_type AS v, row_number() OVER (ORDER BY count(*) DESC, txn_type) - 1 AS idx FROM train GROUP BY 1),
+ic AS (SELECT channel AS v, row_number() OVER (ORDER BY count(*) DESC, channel) - 1 AS idx FROM train GROUP BY 1),
+f AS (SELECT t.*, it.idx AS ti, ic.idx AS ci FROM train t JOIN it ON t.txn_type = it.v JOIN ic ON t.channel = ic.v)
+{std_rows}"""
+
     q["q29_pr_auc"] = f"""{S},
 lab AS (SELECT fraud_rule_score AS s, {label_sql()} AS y FROM scored),
 pts AS (SELECT s, sum(y) AS tp, sum(1 - y) AS fp FROM lab GROUP BY s),
