@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from txnguard.sources.wire import WIRE_SCHEMA
 
 
-def write_wire_files(wire: DataFrame, path: str, n_files: int) -> None:
+def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None) -> None:
     """Lay down wire rows as ``n_files`` files in event-time order, for a file-source
     replay with one file per trigger.
 
@@ -28,7 +28,7 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int) -> None:
     lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
     step = max(1, -(-(hi - lo + 1) // n_files))
     keyed = keyed.withColumn("_file", F.floor((F.col("_order") - F.lit(lo)) / F.lit(step)))
-    for i in range(n_files):
+    for i in (only if only is not None else range(n_files)):
         (keyed.filter(F.col("_file") == i).drop("_order", "_file")
          .coalesce(1).write.mode("append").parquet(path))
 
@@ -51,3 +51,14 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "appen
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows the query's stateful operators dropped as late (older than the
+    watermark), summed over the retained progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            total += int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
+                          else op.numRowsDroppedByWatermark) or 0)
+    return total
