@@ -15,6 +15,8 @@ an already-emitted row cannot change that row's result (it was emitted already).
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +28,9 @@ from pyspark.sql.types import (
 
 from txnguard.config import ScoringConfig
 
+# pandas concat inside the Arrow serializer warns on all-null columns; harmless here
+warnings.filterwarnings("ignore", category=FutureWarning)
+
 STATE_SCHEMA = StructType([
     StructField("ts", ArrayType(LongType())),
     StructField("amt", ArrayType(DoubleType())),
