@@ -1,10 +1,10 @@
 """Dimension-side preparation for stream/batch-to-dimension joins.
 
-A dimension is broadcast only behind a row-count check: it is first checkpointed
-into the shared checkpoint folder (computed once, lineage cut), then counted (cheap
-on the materialised copy). Larger dimensions are joined by shuffle, where AQE can
-still switch to a broadcast at run time from the actual shuffle size and split
-skewed partitions.
+A dimension is broadcast only behind a row-count check: it is first written as a
+Parquet table into the shared folder (``spark.checkpoint.dir``; computed once,
+lineage cut), then counted from that table (footer metadata, no recomputation).
+Larger dimensions are joined by shuffle, where AQE can still switch to a
+broadcast at run time from the actual sizes and split skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,14 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.session import shared_dir
+from txnguard.session import new_work_path
 
 
-def sized_dimension(df: DataFrame, max_rows: int, materialize: bool = True) -> DataFrame:
+def materialize(df: DataFrame, label: str = "dim") -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back (lineage cut;
+    executor loss later re-reads files instead of recomputing the plan)."""
+    path = new_work_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def sized_dimension(df: DataFrame, max_rows: int, materialize_first: bool = True) -> DataFrame:
     if max_rows <= 0:
         return df
-    if materialize:
-        shared_dir(df.sparkSession)  # make sure a checkpoint folder exists
-        df = df.checkpoint(eager=True)
+    if materialize_first:
+        df = materialize(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df

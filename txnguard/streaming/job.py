@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.config import ScoringConfig
-from txnguard.session import shared_dir
+from txnguard.operators.dims import materialize
 from txnguard.plans.scoring import ReferenceTables, alerts, safe_rows, score
 from txnguard.sources.sinks import write_batch_parquet, write_jdbc
 from txnguard.sources.wire import parse_transactions, reject_reason
@@ -55,8 +55,8 @@ class JobPaths:
 @dataclass
 class ReferenceCache:
     """Loads reference tables on first use and again after ``refresh_seconds``;
-    each load is checkpointed once (the per-batch joins then read the snapshot,
-    and their size check is a count of that small snapshot)."""
+    each load is written once as a snapshot into the shared folder (the per-batch
+    joins read the snapshot; their size check is a metadata count)."""
     loader: Callable[[], ReferenceTables]
     cfg: ScoringConfig
     refresh_seconds: float = 300.0
@@ -66,9 +66,7 @@ class ReferenceCache:
     def get(self) -> ReferenceTables:
         if self._refs is None or time.time() - self._at > self.refresh_seconds:
             r = self.loader()
-            shared_dir(r.blacklist.sparkSession)
-            self._refs = ReferenceTables(*(d.checkpoint(eager=True) for d in
-                                           (r.blacklist, r.baseline, r.devices)))
+            self._refs = ReferenceTables(*(materialize(d, "ref") for d in (r.blacklist, r.baseline, r.devices)))
             self._at = time.time()
         return self._refs
 

@@ -24,12 +24,15 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
     from txnguard.schemas import TRANSACTION_SCHEMA
 
     parsed_time = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA, PARSE_OPTIONS)["event_time"]
-    keyed = wire.withColumn("_order", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))))
+    staging = f"{path.rstrip('/')}_staging"
+    (wire.withColumn("_order", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))))
+         .write.mode("overwrite").parquet(staging))          # one parallel pass over the rows
+    keyed = wire.sparkSession.read.parquet(staging)
     lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
     step = max(1, -(-(hi - lo + 1) // n_files))
-    keyed = keyed.withColumn("_file", F.floor((F.col("_order") - F.lit(lo)) / F.lit(step)))
     for i in (only if only is not None else range(n_files)):
-        (keyed.filter(F.col("_file") == i).drop("_order", "_file")
+        lo_i, hi_i = lo + i * step, lo + (i + 1) * step
+        (keyed.filter((F.col("_order") >= lo_i) & (F.col("_order") < hi_i)).drop("_order")
          .coalesce(1).write.mode("append").parquet(path))
 
 

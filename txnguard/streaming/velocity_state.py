@@ -1,13 +1,15 @@
 """Per-row trailing velocity in Structured Streaming (stateful, exact for rows
 that are not late).
 
-Keyed like the batch operator by (sender, time bucket) - never by sender alone - so
-a hot sender's state is spread over buckets, and each group's state is bounded by
-the rows of one bucket plus the context copied from the previous one. The state
-of a group keeps (epoch micros, amount) of rows it has seen; each new row's window
-[t - d, t] is evaluated over state + batch with sorted-array searches (numpy inside
-the Arrow batch). State rows older than watermark - d are evicted; the group is
-dropped by an event-time timeout once the watermark passes its bucket end.
+State is keyed by (hash slot of the sender, time bucket) - never by sender alone -
+so a hot sender's history is spread over buckets, and a group holds at most one
+bucket (plus the context copied from the previous one) of the senders hashed to
+its slot. Many senders per group keep the per-group overhead of the Python
+function small. A group's state keeps (sender, epoch micros, amount) of the rows
+it has seen; each new row's window [t - d, t] is evaluated over state + batch
+with sorted-array searches on a composite (sender, time) key (numpy on the Arrow
+batch). State rows older than watermark - d are evicted; the group is dropped by
+an event-time timeout once the watermark passes its bucket end.
 
 Ties: a row arriving in a later micro-batch with the same or earlier event time as
 an already-emitted row cannot change that row's result (it was emitted already).
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, StructField, StructType,
+    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
 from txnguard.config import ScoringConfig
@@ -32,6 +34,7 @@ from txnguard.config import ScoringConfig
 warnings.filterwarnings("ignore", category=FutureWarning)
 
 STATE_SCHEMA = StructType([
+    StructField("snd", ArrayType(StringType())),
     StructField("ts", ArrayType(LongType())),
     StructField("amt", ArrayType(DoubleType())),
 ])
@@ -46,20 +49,39 @@ VELOCITY_FIELDS = [
 ]
 
 
-def _window_stats(all_ts: np.ndarray, all_amt: np.ndarray, q_ts: np.ndarray, span: int):
-    """count, sum, avg, sample stddev over all rows with t - span <= ts <= t."""
-    order = np.argsort(all_ts, kind="stable")
-    ts, amt = all_ts[order], all_amt[order]
-    lo = np.searchsorted(ts, q_ts - span, side="left")
-    hi = np.searchsorted(ts, q_ts, side="right")
+def frame_stats(snd: np.ndarray, ts: np.ndarray, amt: np.ndarray, q_snd: np.ndarray, q_ts: np.ndarray,
+                span: int):
+    """For each query (sender, t): count, sum, avg and sample stddev of ``amt`` over
+    rows of the same sender with t - span <= ts <= t. Rows of many senders are
+    handled at once on a composite (sender code, time) key; the stddev is an exact
+    two-pass value per frame (equal amounts give exactly 0), one row gives NaN."""
+    codes, uniques = pd.factorize(np.concatenate([snd, q_snd]))
+    c_all, c_q = codes[:len(snd)].astype(np.int64), codes[len(snd):].astype(np.int64)
+    base = int(min(ts.min(), q_ts.min())) - span
+    width = int(max(ts.max(), q_ts.max())) - base + 1  # a frame never reaches a neighbour sender
+    if len(uniques) * width >= 2 ** 62:
+        raise OverflowError("too many senders in one state group for the composite key")
+    key = c_all * width + (ts - base)
+    order = np.argsort(key, kind="stable")
+    key, vals = key[order], amt[order]
+    q_key = c_q * width + (q_ts - base)
+    lo = np.searchsorted(key, q_key - span, side="left")
+    hi = np.searchsorted(key, q_key, side="right")
     cnt = hi - lo
-    csum = np.concatenate([[0.0], np.cumsum(amt)])
-    total = csum[hi] - csum[lo]
-    avg = np.where(cnt > 0, total / np.maximum(cnt, 1), np.nan)
-    std = np.full(len(q_ts), np.nan)
-    for i in np.nonzero(cnt > 1)[0]:  # exact two-pass variance per frame
-        std[i] = np.std(amt[lo[i]:hi[i]], ddof=1)
-    return cnt, total, avg, std
+    total = int(cnt.sum())
+    if total == 0:
+        nan = np.full(len(q_ts), np.nan)
+        return cnt, np.zeros(len(q_ts)), nan, nan
+    starts = np.concatenate([[0], np.cumsum(cnt)[:-1]])
+    idx = np.repeat(lo - starts, cnt) + np.arange(total)
+    frame_vals = vals[idx]
+    safe_starts = np.minimum(starts, total - 1)
+    sums = np.where(cnt > 0, np.add.reduceat(frame_vals, safe_starts), 0.0)
+    mean = np.where(cnt > 0, sums / np.maximum(cnt, 1), np.nan)
+    dev2 = (frame_vals - np.repeat(mean, cnt)) ** 2
+    ss = np.where(cnt > 0, np.add.reduceat(dev2, safe_starts), 0.0)
+    std = np.where(cnt > 1, np.sqrt(ss / np.maximum(cnt - 1, 1)), np.nan)
+    return cnt, sums, mean, std
 
 
 def make_velocity_fn(cfg: ScoringConfig, key: str, out_cols: list[str]):
@@ -73,28 +95,33 @@ def make_velocity_fn(cfg: ScoringConfig, key: str, out_cols: list[str]):
         if not parts:
             return
         pdf = pd.concat(parts, ignore_index=True)
-        if group_key[0] is None:  # rows without a sender: pass through once, no state
-            out = pdf[pdf["_v_copy"] == 0].assign(**{f.name: None for f in VELOCITY_FIELDS})
-            yield out[out_cols]
-            return
-        old_ts = np.array(state.get[0] if state.exists else [], dtype=np.int64)
-        old_amt = np.array(state.get[1] if state.exists else [], dtype=np.float64)
-        new_ts = pdf["_v_us"].to_numpy(dtype=np.int64)
-        new_amt = pdf["amount"].to_numpy(dtype=np.float64)
-        all_ts = np.concatenate([old_ts, new_ts])
-        all_amt = np.concatenate([old_amt, new_amt])
+        passthrough = pdf[key].isna()
+        if passthrough.any():  # rows without a sender (rejects): once, no velocity, no state
+            rej = pdf[passthrough & (pdf["_v_copy"] == 0)]
+            if len(rej):
+                yield rej.assign(**{f.name: None for f in VELOCITY_FIELDS})[out_cols]
+            pdf = pdf[~passthrough]
+            if not len(pdf):
+                return
+        if state.exists:
+            old_snd, old_ts, old_amt = state.get
+        else:
+            old_snd, old_ts, old_amt = [], [], []
+        all_snd = np.concatenate([np.asarray(old_snd, dtype=object), pdf[key].to_numpy(dtype=object)])
+        all_ts = np.concatenate([np.asarray(old_ts, dtype=np.int64), pdf["_v_us"].to_numpy(dtype=np.int64)])
+        all_amt = np.concatenate([np.asarray(old_amt, dtype=np.float64), pdf["amount"].to_numpy(dtype=np.float64)])
         owners = pdf[pdf["_v_copy"] == 0]
         if len(owners):
-            q = owners["_v_us"].to_numpy(dtype=np.int64)
-            c1, s1, _, _ = _window_stats(all_ts, all_amt, q, d1)
-            c2, s2, a2, sd2 = _window_stats(all_ts, all_amt, q, d2)
-            out = owners.assign(txn_count_1m=c1.astype(np.int32), total_amount_1m=s1,
+            q_snd = owners[key].to_numpy(dtype=object)
+            q_ts = owners["_v_us"].to_numpy(dtype=np.int64)
+            c1, s1, _, _ = frame_stats(all_snd, all_ts, all_amt, q_snd, q_ts, d1)
+            c2, s2, a2, sd2 = frame_stats(all_snd, all_ts, all_amt, q_snd, q_ts, d2)
+            yield owners.assign(txn_count_1m=c1.astype(np.int32), total_amount_1m=s1,
                                 txn_count_10m=c2.astype(np.int32), total_amount_10m=s2,
-                                avg_amount_10m=a2, stddev_amount_10m=sd2)
-            yield out[out_cols]
+                                avg_amount_10m=a2, stddev_amount_10m=sd2)[out_cols]
         wm_us = state.getCurrentWatermarkMs() * 1000
         keep = all_ts >= wm_us - d2
-        state.update((all_ts[keep].tolist(), all_amt[keep].tolist()))
+        state.update((all_snd[keep].tolist(), all_ts[keep].tolist(), all_amt[keep].tolist()))
         bucket_end_ms = (int(group_key[1]) + 1) * width // 1000
         state.setTimeoutTimestamp(max(bucket_end_ms + d2 // 1000, state.getCurrentWatermarkMs() + 1))
 
@@ -102,22 +129,30 @@ def make_velocity_fn(cfg: ScoringConfig, key: str, out_cols: list[str]):
 
 
 def trailing_velocity_stream(stream: DataFrame, cfg: ScoringConfig = ScoringConfig(),
-                             key: str = "sender_id", ts: str = "event_time") -> DataFrame:
+                             key: str = "sender_id", ts: str = "event_time",
+                             slots: int | None = None) -> DataFrame:
     """Streaming twin of ``operators.velocity.trailing_velocity``. ``stream`` must
     carry a watermark on ``ts`` (TIMESTAMP). Output: input columns + 6 velocity
-    columns, append mode."""
+    columns, append mode.
+
+    State groups are (hash slot of the sender, time bucket): ``slots`` defaults to
+    4 x spark.sql.shuffle.partitions and, like the partition count, must stay the
+    same for the life of a checkpoint. Rows with a null ``key`` pass through once.
+    """
     width, d2 = cfg.bucket_micros, cfg.long_micros
+    if slots is None:
+        slots = 4 * int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     us = F.unix_micros(F.col(ts))
     bucket = F.expr(f"(_v_us - pmod(_v_us, {width})) div {width}")
     in_tail = F.col("_v_us") >= (bucket + 1) * F.lit(width) - F.lit(d2)
     staged = (stream.withColumn("_v_us", us)
               .withColumn("_v_copy", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1)))
                                                .otherwise(F.array(F.lit(0)))))
-              .withColumn("_v_bucket", bucket + F.col("_v_copy")))
-    base_fields = [f for f in stream.schema.fields]
-    out_schema = StructType(base_fields + VELOCITY_FIELDS)
+              .withColumn("_v_bucket", bucket + F.col("_v_copy"))
+              .withColumn("_v_slot", F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(slots)))))
+    out_schema = StructType(list(stream.schema.fields) + VELOCITY_FIELDS)
     out_cols = [f.name for f in out_schema.fields]
     fn = make_velocity_fn(cfg, key, out_cols)
-    return (staged.groupBy(key, "_v_bucket")
+    return (staged.groupBy("_v_slot", "_v_bucket")
             .applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
