@@ -122,3 +122,4 @@ class ModelConfig:
     class_weighting: bool = True
     median_relative_error: float = 0.001
     severity_null: str = "median"       # "median" (as original) | "zero"
+    cache_node_ids: bool = False        # MLlib option for deep trees (slower on small data)

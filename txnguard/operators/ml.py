@@ -73,18 +73,27 @@ def build_pipeline(mcfg: ModelConfig = ModelConfig(), weight_col: str | None = N
     gbt = GBTClassifier(labelCol=mcfg.label, featuresCol="features", maxIter=mcfg.max_iter,
                         maxDepth=mcfg.max_depth, stepSize=mcfg.step_size,
                         subsamplingRate=mcfg.subsampling_rate,
-                        featureSubsetStrategy=mcfg.feature_subset, seed=mcfg.seed)
+                        featureSubsetStrategy=mcfg.feature_subset, seed=mcfg.seed,
+                        cacheNodeIds=mcfg.cache_node_ids, checkpointInterval=10)
     if weight_col:
         gbt.setWeightCol(weight_col)
     return Pipeline(stages=[imputer, *indexers, assembler, scaler, gbt])
 
 
-def fit_model(train: DataFrame, mcfg: ModelConfig = ModelConfig()) -> PipelineModel:
+def fit_model(train: DataFrame, mcfg: ModelConfig = ModelConfig(), materialize_input: bool = True) -> PipelineModel:
+    """Fit the pipeline. The training table (only the columns the stages read) is
+    first written once into the shared folder: every stage's fit is a pass over
+    it, so the upstream feature plan (windows, joins) is not recomputed per stage."""
+    from txnguard.operators.dims import materialize
     data = prepare_features(train, mcfg)
     weight = None
     if mcfg.class_weighting:
         data = with_class_weight(data, mcfg.label)
         weight = "class_weight"
+    needed = model_inputs(mcfg) + list(mcfg.categorical_features) + [mcfg.label] + ([weight] if weight else [])
+    data = data.select(*needed)
+    if materialize_input:
+        data = materialize(data, "train")
     return build_pipeline(mcfg, weight).fit(data)
 
 
