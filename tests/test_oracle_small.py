@@ -33,3 +33,15 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_flagship_counts(spark):
     df = E.entry(spark)
     assert df.count() == 67  # FIXTURES section 3
+
+
+@pytest.mark.parametrize("name", ["q01_parse", "q17_dedup", "q21_calendar", "q30_alerts"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    o = duck.sql(E.oracle_sql()[name])
+    assert digest(df.columns, rows)[0] == digest(o.columns, o.fetchall())[0]

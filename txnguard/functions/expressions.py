@@ -105,3 +105,15 @@ def instant_to_utc_ntz(ts) -> Column:
 def utc_ntz_to_instant(ts) -> Column:
     """TIMESTAMP_NTZ wall-clock UTC -> TIMESTAMP (instant), session-zone free."""
     return F.timestamp_micros(epoch_micros(_c(ts), ntz=True))
+
+
+def ntz_literal(value) -> Column:
+    """TIMESTAMP_NTZ literal from a naive datetime (or text), built from its text so
+    neither the Python process zone nor the session zone can shift it."""
+    text = value.strftime("%Y-%m-%d %H:%M:%S.%f") if hasattr(value, "strftime") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def instant_literal(value) -> Column:
+    """TIMESTAMP (instant) literal for a naive UTC datetime, zone-free."""
+    return utc_ntz_to_instant(ntz_literal(value))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.config import ModelConfig
+from txnguard.functions.expressions import ntz_literal
 
 
 def fraud_label(value: str = "amount", event_id: str = "event_id", k: str = "k",
@@ -29,7 +30,7 @@ def fraud_label(value: str = "amount", event_id: str = "event_id", k: str = "k",
 
 def time_split(df: DataFrame, cutoff: datetime, ts: str = "event_time") -> tuple[DataFrame, DataFrame]:
     """(train: ts < cutoff, test: ts >= cutoff). Never a random split."""
-    c = F.lit(cutoff).cast("timestamp_ntz")
+    c = ntz_literal(cutoff)
     t = F.col(ts).cast("timestamp_ntz")
     return df.filter(t < c), df.filter(t >= c)
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.config import FixtureSpec, ModelConfig, ScoringConfig
-from txnguard.functions.expressions import epoch_micros, instant_to_utc_ntz, rounded, zscore_unit
+from txnguard.functions.expressions import (
+    epoch_micros, instant_to_utc_ntz, ntz_literal, rounded, zscore_unit,
+)
 from txnguard.operators import ml
 from txnguard.operators.enrich import (
     add_calendar, enrich_with_baseline, enrich_with_blacklist, enrich_with_device,
@@ -224,7 +226,7 @@ def fitted(spark, sf):
 
 def q22_split_class_weight(spark, sf):
     lab = labelled(spark, sf)
-    split = F.when(F.col("event_time") < F.lit(SPEC.score_from).cast("timestamp_ntz"), "train").otherwise("test")
+    split = F.when(F.col("event_time") < ntz_literal(SPEC.score_from), "train").otherwise("test")
     lab = lab.select(split.alias("split"), MCFG.label)
     w = ml.class_weight_table(lab.filter(F.col("split") == "train"), MCFG.label).select(MCFG.label, "class_weight")
     return (lab.groupBy("split", MCFG.label).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.config import ScoringConfig
+from txnguard.functions.expressions import ntz_literal
 from txnguard.operators.enrich import (
     add_calendar, enrich_with_baseline, enrich_with_blacklist, enrich_with_device,
 )
@@ -43,15 +44,15 @@ def features(txn: DataFrame, refs: ReferenceTables, cfg: ScoringConfig = Scoring
     """
     ts = F.col("event_time").cast("timestamp_ntz")
     if cfg.velocity_mode == "given":  # velocity columns computed upstream (streaming state)
-        df = txn if score_from is None else txn.filter(ts >= F.lit(score_from).cast("timestamp_ntz"))
+        df = txn if score_from is None else txn.filter(ts >= ntz_literal(score_from))
     elif cfg.velocity_mode == "trailing":
         if score_from is not None:
-            txn = txn.filter(ts >= F.lit(history_start(score_from, cfg)).cast("timestamp_ntz"))
+            txn = txn.filter(ts >= ntz_literal(history_start(score_from, cfg)))
         df = trailing_velocity(txn, cfg)
         if score_from is not None:
-            df = df.filter(ts >= F.lit(score_from).cast("timestamp_ntz"))
+            df = df.filter(ts >= ntz_literal(score_from))
     else:
-        df = txn if score_from is None else txn.filter(ts >= F.lit(score_from).cast("timestamp_ntz"))
+        df = txn if score_from is None else txn.filter(ts >= ntz_literal(score_from))
     df = enrich_with_blacklist(df, refs.blacklist, cfg, materialize=materialize)
     df = enrich_with_baseline(df, refs.baseline, cfg, materialize=materialize)
     df = enrich_with_device(df, refs.devices, cfg, materialize=materialize)

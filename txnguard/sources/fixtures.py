@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.config import FixtureSpec
+from txnguard.functions.expressions import ntz_literal
 from txnguard.schemas import TRANSACTION_FIELDS
 from txnguard.sources.reference import build_baseline, build_known_devices
 from txnguard.sources.tables import read_table
@@ -83,7 +84,7 @@ def blacklist_users(spark: SparkSession, sf_dir: str, spec: FixtureSpec = Fixtur
 
 
 def _ntz(value) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_literal(value) if value is not None else F.lit(None).cast("timestamp_ntz")
 
 
 def blacklist_long(spark: SparkSession, sf_dir: str, spec: FixtureSpec = FixtureSpec()) -> DataFrame:

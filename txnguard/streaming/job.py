@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.config import ScoringConfig
+from txnguard.functions.expressions import instant_literal
 from txnguard.operators.dims import materialize
 from txnguard.plans.scoring import ReferenceTables, alerts, safe_rows, score
 from txnguard.sources.sinks import write_batch_parquet, write_jdbc
@@ -96,7 +97,7 @@ def make_batch_writer(paths: JobPaths, refs: ReferenceCache, cfg: ScoringConfig,
             valid = (batch.filter(F.col("reject_reason").isNull())
                      .drop("reject_reason", "raw_value", "_et", "_vk", "_v_us", "_v_copy", "_v_bucket"))
             if score_from is not None:
-                valid = valid.filter(F.col("event_time") >= F.lit(score_from).cast("timestamp"))
+                valid = valid.filter(F.col("event_time") >= instant_literal(score_from))
             scored = score(valid, refs.get(), cfg.with_(velocity_mode="given"), model=model,
                            materialize=False).persist()
             write_batch_parquet(alerts(scored, cfg), paths.alerts, batch_id)
