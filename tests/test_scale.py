@@ -90,3 +90,29 @@ def test_pr_auc_frame_matches_mllib(spark):
     for bins in (4, 1024):
         got = ml.pr_auc_frame(df, "score", "label", bins=bins).first()["pr_auc"]
         assert abs(got - expected) < 1e-9, bins
+
+
+def test_grouped_kernel_equals_brute_force(spark):
+    from txnguard.operators.velocity import densest_window, trailing_velocity_grouped
+    t = hot_txn(spark)
+    cols = ["txn_id", "txn_count_1m", "total_amount_1m", "txn_count_10m", "total_amount_10m", "stddev_amount_10m"]
+    expected = _rounded(brute_velocity(t, CFG).select(*cols))
+    got = _rounded(trailing_velocity_grouped(t, CFG).select(*cols))
+    assert got == expected
+    assert densest_window(t, CFG) >= 30  # the hot sender
+
+
+def test_tree_path_equals_gather_path():
+    import numpy as np
+    from txnguard.functions.frames import frame_stats
+    rng = np.random.default_rng(7)
+    n = 5000
+    snd = rng.integers(0, 5, n).astype(str).astype(object)
+    ts = np.sort(rng.integers(0, 10 ** 8, n))
+    amt = np.round(rng.uniform(0, 500, n), 2)
+    amt[::5] = 42.0
+    a = frame_stats(snd, ts, amt, snd, ts, 10 ** 7)
+    b = frame_stats(snd, ts, amt, snd, ts, 10 ** 7, gather_limit=0)
+    assert np.array_equal(a[0], b[0])
+    for x, y in zip(a[1:], b[1:]):
+        assert np.allclose(x, y, rtol=1e-12, atol=1e-9, equal_nan=True)

@@ -60,6 +60,8 @@ class ScoringConfig:
     zero_std: str = "zero"              # "zero": z = 0 when stddev <= 0 or missing; "unit": divide by 1
     calendar_tz: str | None = None      # None: event_time is already wall-clock UTC
     velocity_bucket: str | None = None  # time split of a sender's rows; None -> 8 x long window
+    velocity_method: str = "auto"       # "window" | "grouped" | "auto" (grouped when a sender is dense)
+    dense_window_rows: int = 512        # rows per long window above which "auto" picks "grouped"
     broadcast_max_rows: int = 2_000_000  # dims at most this many rows are broadcast
     blacklist_severity_levels: int = 5  # severities 1..5
 

@@ -24,7 +24,7 @@ from txnguard.operators.enrich import (
 )
 from txnguard.operators.geo import geo_velocity
 from txnguard.operators.rules import flags_text
-from txnguard.operators.velocity import self_velocity, sliding_velocity, trailing_velocity
+from txnguard.operators.velocity import self_velocity, sliding_velocity, trailing_velocity_auto
 from txnguard.plans.scoring import ReferenceTables, alerts, features, score
 from txnguard.session import new_work_path
 from txnguard.sources import fixtures as fx
@@ -98,7 +98,12 @@ def _velocity_out(df):
 
 
 def q12_trailing_velocity(spark, sf):
-    return _velocity_out(trailing_velocity(fx.transactions(spark, sf), CFG))
+    return _velocity_out(trailing_velocity_auto(fx.transactions(spark, sf), CFG))
+
+
+def q12_trailing_velocity_dense(spark, sf):
+    """V3 through the grouped O(n log n) kernel (the path "auto" takes for dense senders)."""
+    return _velocity_out(trailing_velocity_auto(fx.transactions(spark, sf), CFG.with_(velocity_method="grouped")))
 
 
 def q13_self_velocity(spark, sf):

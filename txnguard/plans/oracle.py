@@ -263,6 +263,8 @@ FROM src WHERE event_time < {hist} AND device_id IS NOT NULL GROUP BY 1, 2"""
 FROM vel"""
     q["q12_trailing_velocity"] = f"WITH {src_cte(spec)}, {vel_cte(cfg)}\n{vel_out}"
 
+    q["q12_trailing_velocity_dense"] = q["q12_trailing_velocity"]
+
     q["q13_self_velocity"] = f"""WITH {src_cte(spec)}, {base_cte(spec)}
 SELECT t.txn_id, 1 AS txn_count_1m, round(t.amount, 6) AS total_amount_1m, 1 AS txn_count_10m,
        round(t.amount, 6) AS total_amount_10m, round(b.avg_amount, 6) AS avg_amount_10m,

@@ -19,7 +19,7 @@ from txnguard.operators.enrich import (
     add_calendar, enrich_with_baseline, enrich_with_blacklist, enrich_with_device,
 )
 from txnguard.operators.rules import apply_rules, blend
-from txnguard.operators.velocity import self_velocity, trailing_velocity
+from txnguard.operators.velocity import self_velocity, trailing_velocity_auto
 from txnguard.schemas import OUTPUT_COLUMNS
 
 
@@ -48,7 +48,7 @@ def features(txn: DataFrame, refs: ReferenceTables, cfg: ScoringConfig = Scoring
     elif cfg.velocity_mode == "trailing":
         if score_from is not None:
             txn = txn.filter(ts >= ntz_literal(history_start(score_from, cfg)))
-        df = trailing_velocity(txn, cfg)
+        df = trailing_velocity_auto(txn, cfg)
         if score_from is not None:
             df = df.filter(ts >= ntz_literal(score_from))
     else:

@@ -29,6 +29,7 @@ from pyspark.sql.types import (
 )
 
 from txnguard.config import ScoringConfig
+from txnguard.functions.frames import frame_stats
 
 # pandas concat inside the Arrow serializer warns on all-null columns; harmless here
 warnings.filterwarnings("ignore", category=FutureWarning)
@@ -49,41 +50,6 @@ VELOCITY_FIELDS = [
 ]
 
 
-def frame_stats(snd: np.ndarray, ts: np.ndarray, amt: np.ndarray, q_snd: np.ndarray, q_ts: np.ndarray,
-                span: int):
-    """For each query (sender, t): count, sum, avg and sample stddev of ``amt`` over
-    rows of the same sender with t - span <= ts <= t. Rows of many senders are
-    handled at once on a composite (sender code, time) key; the stddev is an exact
-    two-pass value per frame (equal amounts give exactly 0), one row gives NaN."""
-    codes, uniques = pd.factorize(np.concatenate([snd, q_snd]))
-    c_all, c_q = codes[:len(snd)].astype(np.int64), codes[len(snd):].astype(np.int64)
-    base = int(min(ts.min(), q_ts.min())) - span
-    width = int(max(ts.max(), q_ts.max())) - base + 1  # a frame never reaches a neighbour sender
-    if len(uniques) * width >= 2 ** 62:
-        raise OverflowError("too many senders in one state group for the composite key")
-    key = c_all * width + (ts - base)
-    order = np.argsort(key, kind="stable")
-    key, vals = key[order], amt[order]
-    q_key = c_q * width + (q_ts - base)
-    lo = np.searchsorted(key, q_key - span, side="left")
-    hi = np.searchsorted(key, q_key, side="right")
-    cnt = hi - lo
-    total = int(cnt.sum())
-    if total == 0:
-        nan = np.full(len(q_ts), np.nan)
-        return cnt, np.zeros(len(q_ts)), nan, nan
-    starts = np.concatenate([[0], np.cumsum(cnt)[:-1]])
-    idx = np.repeat(lo - starts, cnt) + np.arange(total)
-    frame_vals = vals[idx]
-    safe_starts = np.minimum(starts, total - 1)
-    sums = np.where(cnt > 0, np.add.reduceat(frame_vals, safe_starts), 0.0)
-    mean = np.where(cnt > 0, sums / np.maximum(cnt, 1), np.nan)
-    dev2 = (frame_vals - np.repeat(mean, cnt)) ** 2
-    ss = np.where(cnt > 0, np.add.reduceat(dev2, safe_starts), 0.0)
-    std = np.where(cnt > 1, np.sqrt(ss / np.maximum(cnt - 1, 1)), np.nan)
-    return cnt, sums, mean, std
-
-
 def make_velocity_fn(cfg: ScoringConfig, key: str, out_cols: list[str]):
     d1, d2, width = cfg.short_micros, cfg.long_micros, cfg.bucket_micros
 
