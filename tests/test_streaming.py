@@ -81,3 +81,22 @@ def test_stream_trailing_velocity_equals_batch(spark):
     assert s.keys() == b.keys()
     diff = [k for k in b if tuple(s[k]) != tuple(b[k])]
     assert not diff, diff[:5]
+
+
+def test_parse_repartition_keeps_rows(spark):
+    raw = wire_rows(fx.transaction_source(spark, SF_SMALL), SPEC)
+    a = parse_transactions(raw)
+    b = parse_transactions(raw, repartition=4)
+    assert b.rdd.getNumPartitions() == 4
+    assert sorted(a.select("txn_id").collect()) == sorted(b.select("txn_id").collect())
+
+
+def test_console_sink_runs(spark, workdir, capsys):
+    wire = wire_rows(fx.transaction_source(spark, SF_SMALL), SPEC)
+    wdir, paths = f"{workdir}/wire", JobPaths(f"{workdir}/job")
+    runner.write_wire_files(wire, wdir, 1)
+    q = start_scoring_job(spark, runner.read_wire_stream(spark, wdir), lambda: refs(spark, SF_SMALL), paths, CFG,
+                          score_from=SPEC.score_from, available_now=True, console=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert "final_fraud_score" in capsys.readouterr().out

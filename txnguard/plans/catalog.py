@@ -367,6 +367,13 @@ def q31_alert_report(spark, sf):
     return alert_report(spark.read.parquet(paths.alerts))["by_flag"]
 
 
+def q31_alert_listing(spark, sf):
+    """The original readback: 6-column listing of the stored alerts."""
+    listing = alert_report(spark.read.parquet(_run_job(spark, sf).alerts))["listing"]
+    return listing.select("txn_id", "sender_id", "receiver_id", "amount", *_r("final_fraud_score"),
+                          flags_text().alias("rule_flags"))
+
+
 def q32_sink_readback(spark, sf):
     paths = _run_job(spark, sf)
     a = spark.read.parquet(paths.alerts).select(F.lit("alerts").alias("sink"), "amount")

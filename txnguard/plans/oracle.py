@@ -364,6 +364,11 @@ al AS (SELECT * FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)})
 fl AS (SELECT channel, unnest(string_split(rule_flags_text, '|')) AS flag FROM al)
 SELECT flag, channel, count(*)::BIGINT AS n_alerts FROM fl WHERE flag <> '-' GROUP BY 1, 2"""
 
+    q["q31_alert_listing"] = f"""{Sx}
+SELECT txn_id, sender_id, receiver_id, amount, round(fraud_rule_score, 6) AS final_fraud_score,
+       rule_flags_text AS rule_flags
+FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)}"""
+
     q["q32_sink_readback"] = f"""{Sx}
 SELECT CASE WHEN fraud_rule_score >= {_d(cfg.alert_threshold)} THEN 'alerts' ELSE 'safe' END AS sink,
        count(*)::BIGINT AS n_rows, round(sum(amount), 6) AS total_amount
