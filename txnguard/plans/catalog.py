@@ -28,7 +28,7 @@ from txnguard.operators.velocity import self_velocity, sliding_velocity, trailin
 from txnguard.plans.scoring import ReferenceTables, alerts, features, score
 from txnguard.session import new_work_path
 from txnguard.sources import fixtures as fx
-from txnguard.sources.reference import build_baseline, build_known_devices
+from txnguard.sources.reference import build_baseline, build_known_devices, read_snapshot, write_snapshot
 from txnguard.sources.sinks import alert_report
 from txnguard.sources.wire import first_delivery, parse_transactions, reject_reason, wire_rows
 from txnguard.streaming import runner
@@ -114,8 +114,20 @@ def q13_self_velocity(spark, sf):
 
 # ---- enrichment joins ------------------------------------------------------------
 
+SNAPSHOT_DATE = "2024-01-16"
+
+
+def via_snapshot(spark, df: DataFrame, label: str) -> DataFrame:
+    """Reference table as production reads it: a dated Parquet snapshot in the shared
+    folder, read back with a partition filter (only that date's folder is listed)."""
+    path = new_work_path(spark, label)
+    write_snapshot(df, path, SNAPSHOT_DATE)
+    return read_snapshot(spark, path, SNAPSHOT_DATE)
+
+
 def q05_blacklist_receiver(spark, sf):
-    df = enrich_with_blacklist(fx.transactions(spark, sf), fx.blacklist_users(spark, sf, SPEC), CFG)
+    bl = via_snapshot(spark, fx.blacklist_users(spark, sf, SPEC), "blacklist")
+    df = enrich_with_blacklist(fx.transactions(spark, sf), bl, CFG)
     return df.select("txn_id", "receiver_id", "bl_receiver_severity")
 
 
@@ -130,7 +142,8 @@ def q07_blacklist_validity(spark, sf):
 
 
 def q08_baseline_zscore(spark, sf):
-    df = enrich_with_baseline(fx.transactions(spark, sf), fx.baseline(spark, sf, SPEC), CFG)
+    base = via_snapshot(spark, fx.baseline(spark, sf, SPEC), "baseline")
+    df = enrich_with_baseline(fx.transactions(spark, sf), base, CFG)
     return df.select("txn_id", *_r("avg_amount", "stddev_amount", "amount_zscore"))
 
 
@@ -140,7 +153,8 @@ def q09_build_baseline(spark, sf):
 
 
 def q10_new_device(spark, sf):
-    df = enrich_with_device(fx.transactions(spark, sf), fx.known_devices(spark, sf, SPEC), CFG)
+    dev = via_snapshot(spark, fx.known_devices(spark, sf, SPEC), "devices")
+    df = enrich_with_device(fx.transactions(spark, sf), dev, CFG)
     return df.select("txn_id", "is_new_device")
 
 
@@ -248,6 +262,20 @@ def q23_impute(spark, sf):
                                           for c in cols])).alias("s")).select("s.*")
 
 
+def q23_imputed_columns(spark, sf):
+    """Features that had missing training values: how many, and the median used."""
+    imputer = fitted(spark, sf).stages[0]
+    train, _ = ml.time_split(labelled(spark, sf), SPEC.score_from)
+    inputs = imputer.getInputCols()
+    missing = train.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.sum(F.col(c).isNull().cast("long")).alias("n_missing"))
+        for c in inputs])).alias("m")).select("m.*")
+    sur = imputer.surrogateDF.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("surrogate")) for c in inputs])).alias("s")
+    ).select("s.*")
+    return missing.filter(F.col("n_missing") > 0).join(sur, "feature")
+
+
 def q24_index(spark, sf):
     model = fitted(spark, sf)
     train, _ = ml.time_split(labelled(spark, sf), SPEC.score_from)

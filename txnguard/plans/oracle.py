@@ -316,6 +316,14 @@ SELECT l.split, l.isFraud, count(*)::BIGINT AS n_rows,
 FROM lab l LEFT JOIN w ON l.isFraud = w.isFraud CROSS JOIN tot
 GROUP BY l.split, l.isFraud"""
 
+    imp_rows = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) - count({c}) AS n_missing, "
+        f"quantile_disc({c}, 0.5)::DOUBLE AS surrogate FROM train" for c in ModelConfig().numeric_features)
+    q["q23_imputed_columns"] = f"""{all_rows},
+train AS (SELECT * FROM scored WHERE event_time < {cut}),
+m AS ({imp_rows})
+SELECT feature, n_missing::BIGINT AS n_missing, surrogate FROM m WHERE n_missing > 0"""
+
     q["q24_index"] = f"""{all_rows},
 train AS (SELECT * FROM scored WHERE event_time < {cut}),
 c AS (SELECT 'txn_type' AS feature, txn_type AS value, count(*) AS n FROM train GROUP BY 2
