@@ -16,8 +16,8 @@ SPEC = FixtureSpec()
 CFG = SPEC.scoring()
 
 
-def _run(spark, wire_dir, paths):
-    q = start_scoring_job(spark, runner.read_wire_stream(spark, wire_dir), lambda: refs(spark, SF_SMALL),
+def _run(spark, wire_dir, paths, files_per_trigger=1):
+    q = start_scoring_job(spark, runner.read_wire_stream(spark, wire_dir, files_per_trigger), lambda: refs(spark, SF_SMALL),
                           paths, CFG, score_from=SPEC.score_from, available_now=True)
     q.awaitTermination()
     assert q.exception() is None
@@ -26,11 +26,11 @@ def _run(spark, wire_dir, paths):
 def test_restart_resumes_without_loss_or_duplicates(spark, workdir):
     wire = wire_rows(fx.transaction_source(spark, SF_SMALL), SPEC, duplicates=True)
     wdir, paths = f"{workdir}/wire", JobPaths(f"{workdir}/job")
-    runner.write_wire_files(wire, wdir, 4, only=[0, 1, 2])
-    _run(spark, wdir, paths)
+    k = runner.write_wire_files(wire, wdir, 4, only=[0, 1, 2], files_per_slice=2)
+    _run(spark, wdir, paths, k)
     first = spark.read.parquet(paths.alerts).count()
-    runner.write_wire_files(wire, wdir, 4, only=[3])
-    _run(spark, wdir, paths)  # same checkpoint: continues after the processed files
+    runner.write_wire_files(wire, wdir, 4, only=[3], files_per_slice=2)
+    _run(spark, wdir, paths, k)  # same checkpoint: continues after the processed files
     got = spark.read.parquet(paths.alerts)
     batch = alerts(score(fx.transaction_source(spark, SF_SMALL), refs(spark, SF_SMALL), CFG,
                          score_from=SPEC.score_from), CFG)
@@ -83,6 +83,36 @@ def test_stream_trailing_velocity_equals_batch(spark):
     assert not diff, diff[:5]
 
 
+def test_parallel_slices_keep_stream_equal_to_batch(spark, workdir):
+    """Slices written by several tasks (3 files each, one trigger per slice) give
+    the same per-row velocity as the batch window."""
+    from txnguard.config import ScoringConfig
+    from txnguard.plans.catalog import _velocity_out, q12_trailing_velocity
+    from txnguard.streaming.velocity_state import trailing_velocity_stream
+    wdir = f"{workdir}/wire"
+    k = runner.write_wire_files(wire_rows(fx.transaction_source(spark, SF_SMALL), SPEC), wdir, 4,
+                                files_per_slice=3)
+    assert k == 3 and len(spark.read.parquet(wdir).inputFiles()) == 12
+    stream = parse_transactions(runner.read_wire_stream(spark, wdir, k), watermark=ScoringConfig().watermark)
+    vel = trailing_velocity_stream(stream, CFG).drop("_v_us", "_v_copy", "_v_bucket")
+    q = (vel.writeStream.format("parquet").option("path", f"{workdir}/out")
+         .option("checkpointLocation", f"{workdir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one trigger per slice
+    s = {r["txn_id"]: r for r in _velocity_out(spark.read.parquet(f"{workdir}/out")).collect()}
+    b = {r["txn_id"]: r for r in q12_trailing_velocity(spark, SF_SMALL).collect()}
+    assert s.keys() == b.keys()
+    assert not [t for t in b if tuple(s[t]) != tuple(b[t])]
+
+
+def test_short_slice_padded_to_full_trigger(spark, workdir):
+    src = fx.transaction_source(spark, SF_SMALL).limit(2)   # fewer rows than files per slice
+    wdir = f"{workdir}/wire"
+    k = runner.write_wire_files(wire_rows(src, SPEC), wdir, 1, files_per_slice=5)
+    assert len(spark.read.parquet(wdir).inputFiles()) == k == 5
+    assert spark.read.parquet(wdir).count() == 2
+
+
 def test_parse_repartition_keeps_rows(spark):
     raw = wire_rows(fx.transaction_source(spark, SF_SMALL), SPEC)
     a = parse_transactions(raw)

@@ -352,16 +352,17 @@ def q30_alerts_blended(spark, sf):
 
 # ---- streaming ----------------------------------------------------------------------
 
-def _wire_files(spark, sf, faults=False, duplicates=False, n_files=4) -> str:
+def _wire_stream(spark, sf, faults=False, duplicates=False, n_files=4) -> DataFrame:
+    """The derived wire rows laid down as event-time slices, replayed one slice per
+    trigger by the file source."""
     path = new_work_path(spark, "wire")
     wire = wire_rows(fx.transaction_source(spark, sf), SPEC, faults=faults, duplicates=duplicates)
-    runner.write_wire_files(wire, path, n_files)
-    return path
+    k = runner.write_wire_files(wire, path, n_files)
+    return runner.read_wire_stream(spark, path, files_per_trigger=k)
 
 
 def q14_stream_sliding_window(spark, sf):
-    wire = _wire_files(spark, sf)
-    stream = parse_transactions(runner.read_wire_stream(spark, wire), watermark=REF_CFG.watermark)
+    stream = parse_transactions(_wire_stream(spark, sf), watermark=REF_CFG.watermark)
     agg = sliding_velocity(stream, REF_CFG.long_window, REF_CFG.long_slide, "10m", full=True)
     out = new_work_path(spark, "q14")
     runner.run_to_parquet(agg, out + "/data", out + "/_checkpoint")
@@ -371,8 +372,7 @@ def q14_stream_sliding_window(spark, sf):
 
 
 def q15_stream_trailing_velocity(spark, sf):
-    wire = _wire_files(spark, sf)
-    stream = parse_transactions(runner.read_wire_stream(spark, wire), watermark=REF_CFG.watermark)
+    stream = parse_transactions(_wire_stream(spark, sf), watermark=REF_CFG.watermark)
     vel = trailing_velocity_stream(stream, CFG).drop("_v_us", "_v_copy", "_v_bucket")
     out = new_work_path(spark, "q15")
     runner.run_to_parquet(vel, out + "/data", out + "/_checkpoint")
@@ -380,9 +380,9 @@ def q15_stream_trailing_velocity(spark, sf):
 
 
 def _run_job(spark, sf) -> JobPaths:
-    wire = _wire_files(spark, sf, faults=True, duplicates=True)
+    raw = _wire_stream(spark, sf, faults=True, duplicates=True)
     paths = JobPaths(new_work_path(spark, "job"))
-    q = start_scoring_job(spark, runner.read_wire_stream(spark, wire), lambda: refs(spark, sf), paths, CFG,
+    q = start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, CFG,
                           score_from=SPEC.score_from, available_now=True)
     q.awaitTermination()
     if q.exception():

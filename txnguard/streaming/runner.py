@@ -8,32 +8,54 @@ from pyspark.sql import DataFrame, SparkSession
 from txnguard.sources.wire import WIRE_SCHEMA
 
 
-def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None) -> None:
-    """Lay down wire rows as ``n_files`` files in event-time order, for a file-source
-    replay with one file per trigger.
+def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None,
+                     files_per_slice: int | None = None, rows_per_file: int = 1_000_000) -> int:
+    """Lay down wire rows as ``n_files`` event-time slices, for a file-source replay
+    with one slice per trigger. Returns the files per slice: read the folder back
+    with ``read_wire_stream(..., files_per_trigger=<that>)``.
 
     The order key is the stream's own event time (parsed ``event_time``, or the
     delivery time when the payload does not parse), split into equal time ranges
-    from its min/max (two scalars to the driver). Files are written one after the
-    other, because the file source orders files by modification time; a later file
-    then never holds events older than an earlier file's watermark.
+    from its min/max (two scalars to the driver). Slices are written one after the
+    other, because the file source orders files by modification time; a later
+    slice then never holds events older than an earlier slice's watermark.
+
+    Each slice is written by ``files_per_slice`` parallel tasks (default: enough
+    that a file holds at most ``rows_per_file`` rows, from the staging row count in
+    the Parquet footers; no slice goes through a single task at scale). A slice that came out
+    with fewer files (empty round-robin partitions) is padded with empty files, so
+    every trigger of ``files_per_slice`` files holds exactly one slice.
     """
     from pyspark.sql import functions as F
 
     from txnguard.sources.wire import PARSE_OPTIONS
     from txnguard.schemas import TRANSACTION_SCHEMA
 
+    spark = wire.sparkSession
     parsed_time = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA, PARSE_OPTIONS)["event_time"]
     staging = f"{path.rstrip('/')}_staging"
     (wire.withColumn("_order", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))))
          .write.mode("overwrite").parquet(staging))          # one parallel pass over the rows
-    keyed = wire.sparkSession.read.parquet(staging)
+    keyed = spark.read.parquet(staging)
+    k = files_per_slice or max(1, -(-keyed.count() // (n_files * rows_per_file)))
     lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
     step = max(1, -(-(hi - lo + 1) // n_files))
     for i in (only if only is not None else range(n_files)):
         lo_i, hi_i = lo + i * step, lo + (i + 1) * step
-        (keyed.filter((F.col("_order") >= lo_i) & (F.col("_order") < hi_i)).drop("_order")
-         .coalesce(1).write.mode("append").parquet(path))
+        part = keyed.filter((F.col("_order") >= lo_i) & (F.col("_order") < hi_i)).drop("_order")
+        before = _n_files(spark, path)
+        (part.coalesce(1) if k == 1 else part.repartition(k)).write.mode("append").parquet(path)
+        for _ in range(k - (_n_files(spark, path) - before)):
+            part.limit(0).write.mode("append").parquet(path)   # one empty file each
+    return k
+
+
+def _n_files(spark: SparkSession, path: str) -> int:
+    """Data files under ``path`` (a listing on the driver, no data read)."""
+    try:
+        return len(spark.read.schema(WIRE_SCHEMA).parquet(path).inputFiles())
+    except Exception:  # noqa: BLE001 - folder not created yet
+        return 0
 
 
 def read_wire_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
