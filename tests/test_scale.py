@@ -92,6 +92,21 @@ def test_pr_auc_frame_matches_mllib(spark):
         assert abs(got - expected) < 1e-9, bins
 
 
+def test_pr_auc_frame_clustered_scores(spark):
+    """A third of the rows carry distinct scores packed into a 1e-9 wide interval
+    (one fixed-width bin would hold them all); the ranged version is still exact."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    src = fx.transaction_source(spark, SF_SMALL)
+    hot = F.col("event_id") % 3 == 0
+    s = F.when(hot, F.lit(0.5) + F.col("event_id") * F.lit(1e-12)).otherwise(F.col("amount") / F.lit(500.0))
+    df = src.select(s.alias("score"), ml.fraud_label().alias("label"))
+    expected = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
+                                             metricName="areaUnderPR", numBins=0).evaluate(df)
+    got = ml.pr_auc_frame(df, "score", "label", bins=16).first()
+    assert abs(got["pr_auc"] - expected) < 1e-9
+    assert got["n_pos"] + got["n_neg"] == src.count()
+
+
 def test_grouped_kernel_equals_brute_force(spark):
     from txnguard.operators.velocity import densest_window, trailing_velocity_grouped
     t = hot_txn(spark)

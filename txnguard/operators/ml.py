@@ -119,19 +119,24 @@ def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins
     per distinct score (descending), first point (0, precision of the first score),
     trapezoids between points.
 
-    Global cumulative counts without a single-partition sort: distinct scores are
-    grouped into ``bins`` fixed score ranges; exclusive prefix sums over the bin
-    totals (at most bins + 1 rows) give each bin's offset, and a window per bin
-    gives the running counts inside it.
+    Global cumulative counts without a single-partition sort: the distinct scores
+    are range-partitioned (descending) into at most ``bins`` ranges whose bounds
+    come from a sample of the distinct scores, so every range holds about the same
+    number of points however densely the scores cluster. The ranged points are
+    written once to the shared folder (range bounds are sampled per evaluation;
+    both consumers must see the same ranges). Exclusive prefix sums over the range
+    totals (at most ``bins`` rows) give each range's offset, and a window per
+    range gives the running counts inside it.
     """
+    from txnguard.operators.dims import materialize
     y = F.col(label) == 1
     pts = (df.groupBy(F.col(score).alias("_s"))
            .agg(F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("_tp"),
                 F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("_fp")))
-    clamp = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_s").cast("double")))
-    pts = pts.withColumn("_bin", F.floor(clamp * F.lit(bins)))
-    whole = Window.partitionBy(F.lit(1))
-    before = Window.partitionBy(F.lit(1)).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    pts = materialize(pts.repartitionByRange(bins, F.desc("_s"))
+                      .withColumn("_bin", F.spark_partition_id()), "pr_points")  # _bin 0 = highest scores
+    whole = Window.partitionBy(F.lit(1))  # over the range totals: at most ``bins`` rows
+    before = Window.partitionBy(F.lit(1)).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (pts.groupBy("_bin").agg(F.sum("_tp").alias("_btp"), F.sum("_fp").alias("_bfp"))
                .select("_bin",
                        F.coalesce(F.sum("_btp").over(before), F.lit(0)).alias("_otp"),
@@ -139,7 +144,7 @@ def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins
                        F.sum("_btp").over(whole).alias("_P"),
                        F.sum("_bfp").over(whole).alias("_N")))
     inside = Window.partitionBy("_bin").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
-    cum = (pts.join(F.broadcast(offsets), "_bin")  # offsets: at most bins + 1 rows
+    cum = (pts.join(F.broadcast(offsets), "_bin")  # offsets: at most bins rows
            .withColumns({"_ctp": F.col("_otp") + F.sum("_tp").over(inside),
                          "_cfp": F.col("_ofp") + F.sum("_fp").over(inside)}))
     ctp, cfp = F.col("_ctp").cast("double"), F.col("_cfp").cast("double")
