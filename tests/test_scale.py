@@ -47,6 +47,17 @@ def test_hot_sender_trailing_velocity_exact(spark):
         assert got == expected, bucket
 
 
+def test_auto_grouped_narrows_buckets_for_dense_sender(spark):
+    from txnguard.operators.velocity import densest_window, grouped_bucket, trailing_velocity_auto
+    t = hot_txn(spark)
+    cfg = CFG.with_(dense_window_rows=8, grouped_target_rows=64)
+    dense = densest_window(t, cfg)
+    assert dense > 8 and grouped_bucket(cfg, dense) == "259200 seconds"  # one long window (3 days)
+    cols = ["txn_id", "txn_count_1m", "total_amount_1m", "txn_count_10m", "total_amount_10m", "stddev_amount_10m"]
+    expected = _rounded(brute_velocity(t, CFG).select(*cols))
+    assert _rounded(trailing_velocity_auto(t, cfg).select(*cols)) == expected
+
+
 def test_hot_sender_spread_over_partitions(spark):
     t = hot_txn(spark)
     v = trailing_velocity(t, CFG.with_(velocity_bucket="3 days"))

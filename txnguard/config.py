@@ -62,6 +62,7 @@ class ScoringConfig:
     velocity_bucket: str | None = None  # time split of a sender's rows; None -> 8 x long window
     velocity_method: str = "auto"       # "window" | "grouped" | "auto" (grouped when a sender is dense)
     dense_window_rows: int = 512        # rows per long window above which "auto" picks "grouped"
+    grouped_target_rows: int = 1_000_000  # "auto"+"grouped": bucket width aimed at this many rows of one sender
     broadcast_max_rows: int = 2_000_000  # dims at most this many rows are broadcast
     blacklist_severity_levels: int = 5  # severities 1..5
 

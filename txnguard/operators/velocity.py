@@ -130,12 +130,24 @@ def trailing_velocity_auto(df: DataFrame, cfg: ScoringConfig = ScoringConfig(),
     ``cfg.dense_window_rows`` rows in one long-window span."""
     method = cfg.velocity_method
     if method == "auto":
-        method = "grouped" if densest_window(df, cfg, key, ts) > cfg.dense_window_rows else "window"
+        densest = densest_window(df, cfg, key, ts)
+        method = "grouped" if densest > cfg.dense_window_rows else "window"
+        if method == "grouped" and cfg.velocity_bucket is None:
+            cfg = cfg.with_(velocity_bucket=grouped_bucket(cfg, densest))
     if method == "grouped":
         return trailing_velocity_grouped(df, cfg, key, ts, amount)
     return trailing_velocity(df, cfg, key, ts, amount)
 
 
+def grouped_bucket(cfg: ScoringConfig, densest: int) -> str:
+    """Bucket width for the grouped path from the densest long-window span: as many
+    long windows (1 to 8) as keep a hot sender near ``grouped_target_rows`` rows per
+    group. One long window is the floor (a group must hold a whole frame), so a
+    group never exceeds about twice the densest window plus its context."""
+    spans = max(1, min(8, cfg.grouped_target_rows // max(densest, 1)))
+    return f"{spans * cfg.long_micros // 1_000_000} seconds"
+
+
 def self_velocity(df: DataFrame) -> DataFrame:
     """Placeholder of the original job: each row counts as one transaction; avg/stddev
     are copied from the user baseline (needs avg_amount / stddev_amount)."""
