@@ -41,6 +41,24 @@ def test_large_dimension_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_dimension_over_byte_bound_is_not_broadcast(spark):
+    from txnguard.operators.dims import payload_bytes, sized_dimension
+    df = spark.createDataFrame([("abc", 1.0, 2), ("de", None, 3)], "k string, x double, n int")
+    assert df.agg(payload_bytes(df)).first()[0] == 2 * (16 + 8 + 4) + 5
+    cfg = SPEC.scoring().with_(broadcast_max_bytes=1)
+    s = score(fx.transaction_source(spark, SF_SMALL), refs(spark, SF_SMALL), cfg, score_from=SPEC.score_from)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        s.collect()
+        assert "BroadcastHashJoin" not in plan_of(s)
+        hinted = sized_dimension(df, 10, materialize_first=False, max_bytes=10 ** 6)
+        assert "BroadcastHashJoin" in plan_of(df.join(hinted, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_history_filter_pushed_to_scan(spark):
     s = score(fx.transaction_source(spark, SF_SMALL), refs(spark, SF_SMALL), SPEC.scoring(),
               score_from=SPEC.score_from)

@@ -63,7 +63,8 @@ class ScoringConfig:
     velocity_method: str = "auto"       # "window" | "grouped" | "auto" (grouped when a sender is dense)
     dense_window_rows: int = 512        # rows per long window above which "auto" picks "grouped"
     grouped_target_rows: int = 1_000_000  # "auto"+"grouped": bucket width aimed at this many rows of one sender
-    broadcast_max_rows: int = 2_000_000  # dims at most this many rows are broadcast
+    broadcast_max_rows: int = 2_000_000  # dims at most this many rows ...
+    broadcast_max_bytes: int = 50 * 1024 * 1024  # ... and this many data bytes are broadcast (original: 50 MB)
     blacklist_severity_levels: int = 5  # severities 1..5
 
     @property

@@ -2,7 +2,8 @@
 
 A dimension is broadcast only behind a row-count check: it is first written as a
 Parquet table into the shared folder (``spark.checkpoint.dir``; computed once,
-lineage cut), then counted from that table (footer metadata, no recomputation).
+lineage cut), then rows and data bytes are summed from that table in one
+aggregate (no recomputation of the dimension's plan).
 Larger dimensions are joined by shuffle, where AQE can still switch to a
 broadcast at run time from the actual sizes and split skewed partitions.
 """
@@ -23,10 +24,27 @@ def materialize(df: DataFrame, label: str = "dim") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def sized_dimension(df: DataFrame, max_rows: int, materialize_first: bool = True) -> DataFrame:
+def payload_bytes(df: DataFrame) -> "Column":
+    """Aggregate column: data bytes of ``df`` (string/binary lengths, fixed widths
+    for the rest, 16 bytes per row for headers)."""
+    widths = {"int": 4, "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
+    row = F.lit(16)
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t in ("string", "binary"):
+            row = row + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        else:
+            row = row + F.lit(widths.get(t, 8))
+    return F.sum(row.cast("long"))
+
+
+def sized_dimension(df: DataFrame, max_rows: int, materialize_first: bool = True,
+                    max_bytes: int = 50 * 1024 * 1024) -> DataFrame:
+    """Broadcast hint only with a proven size bound: at most ``max_rows`` rows and
+    ``max_bytes`` data bytes, both from one aggregate over the materialized table."""
     if max_rows <= 0:
         return df
     if materialize_first:
         df = materialize(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = df.agg(F.count(F.lit(1)), payload_bytes(df)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df

@@ -27,7 +27,7 @@ def enrich_with_blacklist(txn: DataFrame, blacklist: DataFrame, cfg: ScoringConf
                           out: str = "bl_receiver_severity", materialize: bool = True) -> DataFrame:
     bl = max_severity(blacklist, entity_type).select(
         F.col("entity_id").alias("_bl_key"), F.col("severity").cast("int").alias(out))
-    bl = sized_dimension(bl, cfg.broadcast_max_rows, materialize)
+    bl = sized_dimension(bl, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     return txn.join(bl, txn[key] == bl["_bl_key"], "left").drop("_bl_key")
 
 
@@ -35,7 +35,7 @@ def enrich_with_baseline(txn: DataFrame, baseline: DataFrame, cfg: ScoringConfig
                          materialize: bool = True) -> DataFrame:
     """+ avg_amount, stddev_amount (kept) and amount_zscore. Baseline is unique per user."""
     b = baseline.select(F.col("user_id").alias("_b_user"), "avg_amount", "stddev_amount")
-    b = sized_dimension(b, cfg.broadcast_max_rows, materialize)
+    b = sized_dimension(b, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     return (txn.join(b, txn["sender_id"] == b["_b_user"], "left").drop("_b_user")
             .withColumn("amount_zscore", zscore(mode=cfg.zero_std)))
 
@@ -49,7 +49,7 @@ def enrich_with_device(txn: DataFrame, devices: DataFrame, cfg: ScoringConfig =
     """
     d = devices.select(F.col("user_id").alias("_d_user"), F.col("device_id").alias("_d_dev"),
                        F.lit(True).alias("_d_known"))
-    d = sized_dimension(d, cfg.broadcast_max_rows, materialize)
+    d = sized_dimension(d, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     cond = (txn["sender_id"] == d["_d_user"]) & (txn["device_id"] == d["_d_dev"])
     return (txn.join(d, cond, "left")
             .withColumn("is_new_device", F.when(F.col("_d_known").isNull(), F.lit(1)).otherwise(F.lit(0)))
@@ -124,7 +124,7 @@ def enrich_with_entity_blacklist_asof(txn: DataFrame, blacklist: DataFrame, cfg:
         seg = validity_segments(blacklist, etype, cfg.blacklist_severity_levels).select(
             F.col("entity_id").alias("_s_key"), F.col("seg_start").alias("_s_from"),
             F.col("seg_end").alias("_s_to"), F.col("severity").cast("int").alias(out))
-        seg = sized_dimension(seg, cfg.broadcast_max_rows, materialize)
+        seg = sized_dimension(seg, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
         t = txn[ts].cast("timestamp_ntz")
         cond = ((txn[key] == seg["_s_key"]) & (seg["_s_from"] <= t)
                 & (seg["_s_to"].isNull() | (t < seg["_s_to"])))
