@@ -22,34 +22,54 @@ def max_severity(blacklist: DataFrame, entity_type: str) -> DataFrame:
             .groupBy("entity_id").agg(F.max("severity").alias("severity")))
 
 
-def enrich_with_blacklist(txn: DataFrame, blacklist: DataFrame, cfg: ScoringConfig = ScoringConfig(),
-                          key: str = "receiver_id", entity_type: str = "USER",
-                          out: str = "bl_receiver_severity", materialize: bool = True) -> DataFrame:
+def blacklist_dimension(blacklist: DataFrame, cfg: ScoringConfig = ScoringConfig(), entity_type: str = "USER",
+                        out: str = "bl_receiver_severity", materialize: bool = True) -> DataFrame:
+    """Join-ready side of J1: (_bl_key, <out>), one row per listed entity, size-checked."""
     bl = max_severity(blacklist, entity_type).select(
         F.col("entity_id").alias("_bl_key"), F.col("severity").cast("int").alias(out))
-    bl = sized_dimension(bl, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+    return sized_dimension(bl, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+
+
+def enrich_with_blacklist(txn: DataFrame, blacklist: DataFrame | None, cfg: ScoringConfig = ScoringConfig(),
+                          key: str = "receiver_id", entity_type: str = "USER",
+                          out: str = "bl_receiver_severity", materialize: bool = True,
+                          dim: DataFrame | None = None) -> DataFrame:
+    """``dim``: a ``blacklist_dimension`` prepared earlier (then ``blacklist`` is unused)."""
+    bl = dim if dim is not None else blacklist_dimension(blacklist, cfg, entity_type, out, materialize)
     return txn.join(bl, txn[key] == bl["_bl_key"], "left").drop("_bl_key")
 
 
-def enrich_with_baseline(txn: DataFrame, baseline: DataFrame, cfg: ScoringConfig = ScoringConfig(),
-                         materialize: bool = True) -> DataFrame:
-    """+ avg_amount, stddev_amount (kept) and amount_zscore. Baseline is unique per user."""
+def baseline_dimension(baseline: DataFrame, cfg: ScoringConfig = ScoringConfig(),
+                       materialize: bool = True) -> DataFrame:
+    """Join-ready side of J2: (_b_user, avg_amount, stddev_amount), size-checked."""
     b = baseline.select(F.col("user_id").alias("_b_user"), "avg_amount", "stddev_amount")
-    b = sized_dimension(b, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+    return sized_dimension(b, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+
+
+def enrich_with_baseline(txn: DataFrame, baseline: DataFrame | None, cfg: ScoringConfig = ScoringConfig(),
+                         materialize: bool = True, dim: DataFrame | None = None) -> DataFrame:
+    """+ avg_amount, stddev_amount (kept) and amount_zscore. Baseline is unique per user."""
+    b = dim if dim is not None else baseline_dimension(baseline, cfg, materialize)
     return (txn.join(b, txn["sender_id"] == b["_b_user"], "left").drop("_b_user")
             .withColumn("amount_zscore", zscore(mode=cfg.zero_std)))
 
 
-def enrich_with_device(txn: DataFrame, devices: DataFrame, cfg: ScoringConfig = ScoringConfig(),
-                       materialize: bool = True) -> DataFrame:
+def device_dimension(devices: DataFrame, cfg: ScoringConfig = ScoringConfig(),
+                     materialize: bool = True) -> DataFrame:
+    """Join-ready side of J3: (_d_user, _d_dev, _d_known), size-checked."""
+    d = devices.select(F.col("user_id").alias("_d_user"), F.col("device_id").alias("_d_dev"),
+                       F.lit(True).alias("_d_known"))
+    return sized_dimension(d, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+
+
+def enrich_with_device(txn: DataFrame, devices: DataFrame | None, cfg: ScoringConfig = ScoringConfig(),
+                       materialize: bool = True, dim: DataFrame | None = None) -> DataFrame:
     """+ is_new_device: 1 unless (sender_id, device_id) is in the device history.
 
     A null device never matches, so it counts as new. ``devices`` must be unique on
     (user_id, device_id); ``build_known_devices`` guarantees that.
     """
-    d = devices.select(F.col("user_id").alias("_d_user"), F.col("device_id").alias("_d_dev"),
-                       F.lit(True).alias("_d_known"))
-    d = sized_dimension(d, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+    d = dim if dim is not None else device_dimension(devices, cfg, materialize)
     cond = (txn["sender_id"] == d["_d_user"]) & (txn["device_id"] == d["_d_dev"])
     return (txn.join(d, cond, "left")
             .withColumn("is_new_device", F.when(F.col("_d_known").isNull(), F.lit(1)).otherwise(F.lit(0)))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from txnguard.config import ScoringConfig
 from txnguard.functions.expressions import ntz_literal
 from txnguard.operators.enrich import (
-    add_calendar, enrich_with_baseline, enrich_with_blacklist, enrich_with_device,
+    add_calendar, baseline_dimension, blacklist_dimension, device_dimension, enrich_with_baseline,
+    enrich_with_blacklist, enrich_with_device,
 )
 from txnguard.operators.rules import apply_rules, blend
 from txnguard.operators.velocity import self_velocity, trailing_velocity_auto
@@ -30,12 +31,28 @@ class ReferenceTables:
     devices: DataFrame       # user_id, device_id
 
 
+@dataclass
+class JoinDimensions:
+    """Join-ready, size-checked sides of J1-J3 (prepared once, reused by many plans,
+    e.g. every micro-batch of the streaming job until the references refresh)."""
+    blacklist: DataFrame     # _bl_key, bl_receiver_severity
+    baseline: DataFrame      # _b_user, avg_amount, stddev_amount
+    devices: DataFrame       # _d_user, _d_dev, _d_known
+
+
+def join_dimensions(refs: ReferenceTables, cfg: ScoringConfig = ScoringConfig(),
+                    materialize: bool = True) -> JoinDimensions:
+    return JoinDimensions(blacklist_dimension(refs.blacklist, cfg, materialize=materialize),
+                          baseline_dimension(refs.baseline, cfg, materialize),
+                          device_dimension(refs.devices, cfg, materialize))
+
+
 def history_start(score_from: datetime, cfg: ScoringConfig) -> datetime:
     """Rows before this cannot reach any trailing window of a scored row."""
     return score_from - timedelta(microseconds=max(cfg.long_micros, cfg.short_micros))
 
 
-def features(txn: DataFrame, refs: ReferenceTables, cfg: ScoringConfig = ScoringConfig(),
+def features(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: ScoringConfig = ScoringConfig(),
              score_from: datetime | None = None, materialize: bool = True) -> DataFrame:
     """Transactions + every feature the rules and the model read.
 
@@ -53,16 +70,17 @@ def features(txn: DataFrame, refs: ReferenceTables, cfg: ScoringConfig = Scoring
             df = df.filter(ts >= ntz_literal(score_from))
     else:
         df = txn if score_from is None else txn.filter(ts >= ntz_literal(score_from))
-    df = enrich_with_blacklist(df, refs.blacklist, cfg, materialize=materialize)
-    df = enrich_with_baseline(df, refs.baseline, cfg, materialize=materialize)
-    df = enrich_with_device(df, refs.devices, cfg, materialize=materialize)
+    dims = refs if isinstance(refs, JoinDimensions) else join_dimensions(refs, cfg, materialize)
+    df = enrich_with_blacklist(df, None, cfg, dim=dims.blacklist)
+    df = enrich_with_baseline(df, None, cfg, dim=dims.baseline)
+    df = enrich_with_device(df, None, cfg, dim=dims.devices)
     df = add_calendar(df, cfg)
     if cfg.velocity_mode == "self":
         df = self_velocity(df)
     return df
 
 
-def score(txn: DataFrame, refs: ReferenceTables, cfg: ScoringConfig = ScoringConfig(),
+def score(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: ScoringConfig = ScoringConfig(),
           model=None, score_from: datetime | None = None, materialize: bool = True) -> DataFrame:
     """All scored rows with rule components, fraud_rule_score, rule_flags,
     ml_fraud_score (null without model) and final_fraud_score."""

@@ -10,7 +10,7 @@ txn_id within the watermark -> stateful trailing velocity -> foreachBatch:
 The original ran two queries (console + Parquet) that each read, parsed and
 scored every record; here the scored batch is persisted once and written to every
 sink. Per-batch overwrite makes replays after a failure idempotent. Reference
-tables are static snapshots, re-read (and size-checked) every ``refresh_seconds``.
+tables are static snapshots, reloaded (and size-checked) every ``refresh_seconds``.
 """
 
 from __future__ import annotations
@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 
 from txnguard.config import ScoringConfig
 from txnguard.functions.expressions import instant_literal
-from txnguard.operators.dims import materialize
-from txnguard.plans.scoring import ReferenceTables, alerts, safe_rows, score
+from txnguard.plans.scoring import JoinDimensions, ReferenceTables, alerts, join_dimensions, safe_rows, score
 from txnguard.sources.sinks import write_batch_parquet, write_jdbc
 from txnguard.sources.wire import parse_transactions, reject_reason
 from txnguard.streaming.velocity_state import trailing_velocity_stream
@@ -55,21 +54,21 @@ class JobPaths:
 
 @dataclass
 class ReferenceCache:
-    """Loads reference tables on first use and again after ``refresh_seconds``;
-    each load is written once as a snapshot into the shared folder (the per-batch
-    joins read the snapshot; their size check is a metadata count)."""
+    """Loads reference tables on first use and again after ``refresh_seconds``.
+    Each load is reduced to the join-ready dimensions, written once as snapshots
+    into the shared folder and size-checked once; every micro-batch until the next
+    refresh joins those snapshots with the same broadcast decision."""
     loader: Callable[[], ReferenceTables]
     cfg: ScoringConfig
     refresh_seconds: float = 300.0
-    _refs: ReferenceTables | None = field(default=None, init=False)
+    _dims: JoinDimensions | None = field(default=None, init=False)
     _at: float = field(default=0.0, init=False)
 
-    def get(self) -> ReferenceTables:
-        if self._refs is None or time.time() - self._at > self.refresh_seconds:
-            r = self.loader()
-            self._refs = ReferenceTables(*(materialize(d, "ref") for d in (r.blacklist, r.baseline, r.devices)))
+    def get(self) -> JoinDimensions:
+        if self._dims is None or time.time() - self._at > self.refresh_seconds:
+            self._dims = join_dimensions(self.loader(), self.cfg, materialize=True)
             self._at = time.time()
-        return self._refs
+        return self._dims
 
 
 def prepared_stream(raw: DataFrame, cfg: ScoringConfig = ScoringConfig(), dedup: bool = True) -> DataFrame:
@@ -92,14 +91,15 @@ def make_batch_writer(paths: JobPaths, refs: ReferenceCache, cfg: ScoringConfig,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():  # no-data batch (watermark advance, state eviction): nothing to write
+                return
             write_batch_parquet(batch.filter(F.col("reject_reason").isNotNull())
                                 .select("raw_value", "kafka_ts", "reject_reason"), paths.rejects, batch_id)
             valid = (batch.filter(F.col("reject_reason").isNull())
                      .drop("reject_reason", "raw_value", "_et", "_vk", "_v_us", "_v_copy", "_v_bucket"))
             if score_from is not None:
                 valid = valid.filter(F.col("event_time") >= instant_literal(score_from))
-            scored = score(valid, refs.get(), cfg.with_(velocity_mode="given"), model=model,
-                           materialize=False).persist()
+            scored = score(valid, refs.get(), cfg.with_(velocity_mode="given"), model=model).persist()
             write_batch_parquet(alerts(scored, cfg), paths.alerts, batch_id)
             safe = safe_rows(scored, cfg)
             write_batch_parquet(safe, paths.safe, batch_id)
