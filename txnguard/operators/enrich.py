@@ -95,42 +95,51 @@ def add_calendar(txn: DataFrame, cfg: ScoringConfig = ScoringConfig(), ts: str =
 def enrich_with_entity_blacklist(txn: DataFrame, blacklist: DataFrame, cfg: ScoringConfig = ScoringConfig(),
                                  keys: dict[str, tuple[str, str]] | None = None,
                                  materialize: bool = True) -> DataFrame:
-    """Match by key only (validity ignored): max severity per listed entity."""
+    """Match by key only (validity ignored): max severity per listed entity. One
+    reduced table for all entity types (written and size-checked once); each type's
+    join reads its slice."""
     keys = keys or {"DEVICE": ("device_id", "bl_device_severity"), "IP": ("ip_address", "bl_ip_severity")}
+    top = (blacklist.filter(F.col("entity_type").isin(list(keys)))
+           .groupBy("entity_type", "entity_id").agg(F.max("severity").cast("int").alias("severity")))
+    top = sized_dimension(top, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     for etype, (key, out) in keys.items():
-        txn = enrich_with_blacklist(txn, blacklist, cfg, key=key, entity_type=etype, out=out,
-                                    materialize=materialize)
+        dim = top.filter(F.col("entity_type") == etype).select(F.col("entity_id").alias("_bl_key"),
+                                                               F.col("severity").alias(out))
+        txn = enrich_with_blacklist(txn, None, cfg, key=key, out=out, dim=dim)
     return txn
 
 
-def validity_segments(blacklist: DataFrame, entity_type: str, levels: int = 5) -> DataFrame:
-    """Turn possibly overlapping listings [listed_at, expires_at) of one entity type
-    into non-overlapping segments carrying the highest active severity.
+def validity_segments(blacklist: DataFrame, entity_type: str | list[str], levels: int = 5) -> DataFrame:
+    """Turn possibly overlapping listings [listed_at, expires_at) of the given entity
+    type(s) into non-overlapping segments carrying the highest active severity.
 
     Each listing adds +1 at ``listed_at`` and -1 at ``expires_at`` to the counter of
-    its severity level; running sums per entity give the active levels between
-    consecutive boundaries. Work is on the (small) list only, and a transaction then
-    matches at most one segment, so the range join needs no post-join aggregation.
-    Severities outside 1..levels are clamped into that range.
+    its severity level; running sums per (entity type, entity) give the active levels
+    between consecutive boundaries. Work is on the (small) list only, and a
+    transaction then matches at most one segment, so the range join needs no
+    post-join aggregation. Severities outside 1..levels are clamped into that range.
+    Output: entity_type, entity_id, seg_start, seg_end (null = open), severity.
     """
-    bl = (blacklist.filter(F.col("entity_type") == entity_type)
+    types = [entity_type] if isinstance(entity_type, str) else list(entity_type)
+    keys = ["entity_type", "entity_id"]
+    bl = (blacklist.filter(F.col("entity_type").isin(types))
           .filter(F.col("listed_at").isNotNull())
-          .select("entity_id", F.col("listed_at").cast("timestamp_ntz").alias("listed_at"),
+          .select(*keys, F.col("listed_at").cast("timestamp_ntz").alias("listed_at"),
                   F.col("expires_at").cast("timestamp_ntz").alias("expires_at"),
                   F.greatest(F.lit(1), F.least(F.lit(levels), F.col("severity"))).alias("sev")))
-    starts = bl.select("entity_id", F.col("listed_at").alias("t"), "sev", F.lit(1).alias("d"))
+    starts = bl.select(*keys, F.col("listed_at").alias("t"), "sev", F.lit(1).alias("d"))
     ends = (bl.filter(F.col("expires_at").isNotNull())
-            .select("entity_id", F.col("expires_at").alias("t"), "sev", F.lit(-1).alias("d")))
+            .select(*keys, F.col("expires_at").alias("t"), "sev", F.lit(-1).alias("d")))
     deltas = (starts.unionByName(ends)
-              .groupBy("entity_id", "t")
+              .groupBy(*keys, "t")
               .agg(*[F.sum(F.when(F.col("sev") == s, F.col("d")).otherwise(F.lit(0))).alias(f"d{s}")
                      for s in range(1, levels + 1)]))
-    w = Window.partitionBy("entity_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    running = deltas.select("entity_id", "t",
-                            F.lead("t").over(Window.partitionBy("entity_id").orderBy("t")).alias("seg_end"),
+    w = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    running = deltas.select(*keys, "t",
+                            F.lead("t").over(Window.partitionBy(*keys).orderBy("t")).alias("seg_end"),
                             *[F.sum(f"d{s}").over(w).alias(f"c{s}") for s in range(1, levels + 1)])
     top = F.coalesce(*[F.when(F.col(f"c{s}") > 0, F.lit(s)) for s in range(levels, 0, -1)])
-    return (running.select("entity_id", F.col("t").alias("seg_start"), "seg_end", top.alias("severity"))
+    return (running.select(*keys, F.col("t").alias("seg_start"), "seg_end", top.alias("severity"))
             .filter(F.col("severity").isNotNull()))
 
 
@@ -138,14 +147,18 @@ def enrich_with_entity_blacklist_asof(txn: DataFrame, blacklist: DataFrame, cfg:
                                       keys: dict[str, tuple[str, str]] | None = None,
                                       ts: str = "event_time", materialize: bool = True) -> DataFrame:
     """Match only listings valid at the transaction time: listed_at <= t < expires_at
-    (no expiry = open ended). Equi-join on the entity plus a range condition."""
+    (no expiry = open ended). Equi-join on the entity plus a range condition.
+
+    Segments of all entity types are built in one pass, written and size-checked
+    once; each type's join reads its slice of that table."""
     keys = keys or {"DEVICE": ("device_id", "bl_device_severity"), "IP": ("ip_address", "bl_ip_severity")}
+    seg_all = sized_dimension(validity_segments(blacklist, list(keys), cfg.blacklist_severity_levels),
+                              cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
+    t = txn[ts].cast("timestamp_ntz")
     for etype, (key, out) in keys.items():
-        seg = validity_segments(blacklist, etype, cfg.blacklist_severity_levels).select(
+        seg = seg_all.filter(F.col("entity_type") == etype).select(
             F.col("entity_id").alias("_s_key"), F.col("seg_start").alias("_s_from"),
             F.col("seg_end").alias("_s_to"), F.col("severity").cast("int").alias(out))
-        seg = sized_dimension(seg, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
-        t = txn[ts].cast("timestamp_ntz")
         cond = ((txn[key] == seg["_s_key"]) & (seg["_s_from"] <= t)
                 & (seg["_s_to"].isNull() | (t < seg["_s_to"])))
         txn = txn.join(seg, cond, "left").drop("_s_key", "_s_from", "_s_to")
