@@ -92,6 +92,18 @@ def test_validity_segments_equal_brute_force(spark):
     assert got == expected
 
 
+def test_auto_geo_bucket_narrows_for_hot_sender(spark):
+    from txnguard.operators.geo import DAY_MICROS, MINUTE_MICROS, bucket_width
+    t = hot_txn(spark)
+    assert bucket_width(t) == DAY_MICROS
+    w = bucket_width(t, target_rows=4)
+    assert MINUTE_MICROS <= w < DAY_MICROS
+    w_all = Window.partitionBy("sender_id").orderBy("event_time", "txn_id")
+    expected = sorted(t.select("txn_id", F.lag("lat").over(w_all).alias("p")).collect())
+    got = sorted(previous_point(t, target_rows=4).select("txn_id", F.col("prev_lat").alias("p")).collect())
+    assert got == expected
+
+
 def test_pr_auc_frame_matches_mllib(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     src = fx.transaction_source(spark, SF_SMALL)
