@@ -130,3 +130,16 @@ def test_console_sink_runs(spark, workdir, capsys):
     q.awaitTermination()
     assert q.exception() is None
     assert "final_fraud_score" in capsys.readouterr().out
+
+
+def test_rocksdb_state_store_parity(spark):
+    """The provider ``build_session`` configures gives the same per-row velocity."""
+    from txnguard.plans.catalog import q12_trailing_velocity, q15_stream_trailing_velocity
+    from txnguard.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        s = sorted(q15_stream_trailing_velocity(spark, SF_SMALL).collect())
+    finally:
+        spark.conf.unset(key)
+    assert s == sorted(q12_trailing_velocity(spark, SF_SMALL).collect())

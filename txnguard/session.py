@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str | None = None, app: str = "txnguard",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -27,6 +30,9 @@ def build_session(master: str | None = None, app: str = "txnguard",
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # streaming state (dedup, windows, velocity) off-heap in RocksDB, checkpointed as changelogs
+               .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+               .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
                .config("spark.driver.memory", os.environ.get("TXNGUARD_DRIVER_MEMORY", "8g")))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
