@@ -297,12 +297,17 @@ def _transform_until(model, df, n_stages):
 
 
 def q25_assemble(spark, sf):
+    """The assembled feature vector of each scored (test) row, one row per position:
+    txn_id, feature, value (imputed numerics, then category indexes)."""
     from pyspark.ml.functions import vector_to_array
     model = fitted(spark, sf)
     _, test = ml.time_split(labelled(spark, sf), SPEC.score_from)
     n = 1 + len(MCFG.categorical_features) + 1
     out = _transform_until(model, ml.prepare_features(test, MCFG), n)
-    return out.select("txn_id", vector_to_array("features_raw").alias("features_raw"))
+    names = F.array(*[F.lit(c) for c in (*MCFG.numeric_features, *MCFG.categorical_features)])
+    return (out.select("txn_id", F.posexplode(vector_to_array("features_raw")).alias("pos", "value"))
+            .select("txn_id", F.element_at(names, F.col("pos") + 1).alias("feature"),
+                    rounded("value").alias("value")))
 
 
 def q26_scale(spark, sf):

@@ -332,6 +332,27 @@ SELECT feature, value, (row_number() OVER (PARTITION BY feature ORDER BY n DESC,
        n::BIGINT AS n_rows
 FROM c"""
 
+    mc = ModelConfig()
+    med_cols = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in mc.numeric_features)
+    f_cols = [f"coalesce(t.{c}, med.{c})::DOUBLE AS f_{c}" for c in mc.numeric_features]
+    f_cols += ["coalesce(it.idx, nt.n)::DOUBLE AS f_txn_type", "coalesce(ic.idx, nc.n)::DOUBLE AS f_channel"]
+    pos_rows = "\nUNION ALL ".join(f"SELECT txn_id, '{c}' AS feature, round(f_{c}, 6) AS value FROM f"
+                                   for c in (*mc.numeric_features, *mc.categorical_features))
+    q["q25_assemble"] = f"""{all_rows},
+train AS (SELECT * FROM scored WHERE event_time < {cut}),
+test AS (SELECT * FROM scored WHERE event_time >= {cut}),
+med AS (SELECT {med_cols} FROM train),
+it AS (SELECT txn_type AS v, row_number() OVER (ORDER BY count(*) DESC, txn_type) - 1 AS idx FROM train
+       WHERE txn_type IS NOT NULL GROUP BY 1),
+ic AS (SELECT channel AS v, row_number() OVER (ORDER BY count(*) DESC, channel) - 1 AS idx FROM train
+       WHERE channel IS NOT NULL GROUP BY 1),
+nt AS (SELECT count(*) AS n FROM it),
+nc AS (SELECT count(*) AS n FROM ic),
+f AS (SELECT t.txn_id, {", ".join(f_cols)}
+      FROM test t CROSS JOIN med CROSS JOIN nt CROSS JOIN nc
+      LEFT JOIN it ON t.txn_type = it.v LEFT JOIN ic ON t.channel = ic.v)
+{pos_rows}"""
+
     num = ModelConfig().numeric_features
     sev_m = "coalesce(bl_receiver_severity, (SELECT m FROM med))"
     cols = [(c, sev_m if c == "bl_receiver_severity" else c) for c in num]
