@@ -59,6 +59,24 @@ def test_dimension_over_byte_bound_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_snapshot_references_joined_without_copy(spark, workdir):
+    from txnguard.plans.scoring import ReferenceTables, join_dimensions
+    from txnguard.sources.reference import read_snapshot, write_snapshot
+    r = refs(spark, SF_SMALL)
+    for name, df in (("baseline", r.baseline), ("devices", r.devices)):
+        write_snapshot(df, f"{workdir}/{name}", "2024-01-16")
+    snap = ReferenceTables(r.blacklist, read_snapshot(spark, f"{workdir}/baseline", "2024-01-16"),
+                           read_snapshot(spark, f"{workdir}/devices", "2024-01-16"), snapshots=True)
+    dims = join_dimensions(snap, SPEC.scoring())
+    assert dims.baseline.inputFiles() and dims.devices.inputFiles()
+    assert all(f"{workdir}/baseline/" in f for f in dims.baseline.inputFiles())
+    assert all(f"{workdir}/devices/" in f for f in dims.devices.inputFiles())
+    s = score(fx.transaction_source(spark, SF_SMALL), dims, SPEC.scoring(), score_from=SPEC.score_from)
+    b = score(fx.transaction_source(spark, SF_SMALL), r, SPEC.scoring(), score_from=SPEC.score_from)
+    assert sorted(s.select("txn_id", "fraud_rule_score").collect()) == \
+        sorted(b.select("txn_id", "fraud_rule_score").collect())
+
+
 def test_history_filter_pushed_to_scan(spark):
     s = score(fx.transaction_source(spark, SF_SMALL), refs(spark, SF_SMALL), SPEC.scoring(),
               score_from=SPEC.score_from)

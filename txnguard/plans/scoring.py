@@ -29,6 +29,7 @@ class ReferenceTables:
     blacklist: DataFrame     # entity_id, entity_type, severity [, listed_at, expires_at]
     baseline: DataFrame      # user_id, avg_amount, stddev_amount
     devices: DataFrame       # user_id, device_id
+    snapshots: bool = False  # already stable files (e.g. read_snapshot): joined without a copy
 
 
 @dataclass
@@ -42,9 +43,13 @@ class JoinDimensions:
 
 def join_dimensions(refs: ReferenceTables, cfg: ScoringConfig = ScoringConfig(),
                     materialize: bool = True) -> JoinDimensions:
+    """Baseline and devices are projections: when they come from stable snapshots
+    they are size-checked from the source and joined without a copy. The blacklist
+    is reduced by an aggregate, so it is written once either way."""
+    copy = materialize and not refs.snapshots
     return JoinDimensions(blacklist_dimension(refs.blacklist, cfg, materialize=materialize),
-                          baseline_dimension(refs.baseline, cfg, materialize),
-                          device_dimension(refs.devices, cfg, materialize))
+                          baseline_dimension(refs.baseline, cfg, copy),
+                          device_dimension(refs.devices, cfg, copy))
 
 
 def history_start(score_from: datetime, cfg: ScoringConfig) -> datetime:
