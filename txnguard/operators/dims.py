@@ -1,6 +1,6 @@
 """Dimension-side preparation for stream/batch-to-dimension joins.
 
-A dimension is broadcast only behind a row-count check: it is first written as a
+A dimension is broadcast only behind a size check: it is first written as a
 Parquet table into the shared folder (``spark.checkpoint.dir``; computed once,
 lineage cut), then rows and data bytes are summed from that table in one
 aggregate (no recomputation of the dimension's plan).
@@ -10,7 +10,7 @@ broadcast at run time from the actual sizes and split skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.session import new_work_path
@@ -24,7 +24,7 @@ def materialize(df: DataFrame, label: str = "dim") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def payload_bytes(df: DataFrame) -> "Column":
+def payload_bytes(df: DataFrame) -> Column:
     """Aggregate column: data bytes of ``df`` (string/binary lengths, fixed widths
     for the rest, 16 bytes per row for headers)."""
     widths = {"int": 4, "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}

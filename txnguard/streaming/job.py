@@ -55,9 +55,9 @@ class JobPaths:
 @dataclass
 class ReferenceCache:
     """Loads reference tables on first use and again after ``refresh_seconds``.
-    Each load is reduced to the join-ready dimensions, written once as snapshots
-    into the shared folder and size-checked once; every micro-batch until the next
-    refresh joins those snapshots with the same broadcast decision."""
+    Each load is reduced to the join-ready dimensions, written once into the shared
+    folder (unless they are snapshots already) and size-checked once; every
+    micro-batch until the next refresh joins them with the same broadcast decision."""
     loader: Callable[[], ReferenceTables]
     cfg: ScoringConfig
     refresh_seconds: float = 300.0

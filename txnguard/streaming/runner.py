@@ -21,10 +21,10 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
     slice then never holds events older than an earlier slice's watermark.
 
     Each slice is written by ``files_per_slice`` parallel tasks (default: enough
-    that a file holds at most ``rows_per_file`` rows, from the staging row count in
-    the Parquet footers; no slice goes through a single task at scale). A slice that came out
-    with fewer files (empty round-robin partitions) is padded with empty files, so
-    every trigger of ``files_per_slice`` files holds exactly one slice.
+    that a file holds at most ``rows_per_file`` rows, from the staging row count;
+    no slice goes through a single task at scale). A slice that came out with fewer
+    files (empty round-robin partitions) is padded with empty files, so every
+    trigger of ``files_per_slice`` files holds exactly one slice.
     """
     from pyspark.sql import functions as F
 
