@@ -58,6 +58,15 @@ def test_auto_grouped_narrows_buckets_for_dense_sender(spark):
     assert _rounded(trailing_velocity_auto(t, cfg).select(*cols)) == expected
 
 
+def test_grouped_bucket_bounds():
+    from txnguard.operators.velocity import grouped_bucket
+    cfg = CFG.with_(grouped_target_rows=1000)
+    long_s = CFG.long_micros // 1_000_000
+    assert grouped_bucket(cfg, 1) == f"{8 * long_s} seconds"       # sparse: widest bucket
+    assert grouped_bucket(cfg, 250) == f"{4 * long_s} seconds"     # 1000 // 250 long windows
+    assert grouped_bucket(cfg, 10 ** 9) == f"{long_s} seconds"     # floor: one whole frame
+
+
 def test_hot_sender_spread_over_partitions(spark):
     t = hot_txn(spark)
     v = trailing_velocity(t, CFG.with_(velocity_bucket="3 days"))
