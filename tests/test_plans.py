@@ -45,6 +45,8 @@ def test_dimension_over_byte_bound_is_not_broadcast(spark):
     from txnguard.operators.dims import payload_bytes, sized_dimension
     df = spark.createDataFrame([("abc", 1.0, 2), ("de", None, 3)], "k string, x double, n int")
     assert df.agg(payload_bytes(df)).first()[0] == 2 * (16 + 8 + 4) + 5
+    nested = spark.createDataFrame([(["ab", "c"],)], "a array<string>")
+    assert nested.agg(payload_bytes(nested)).first()[0] == 16 + len('["ab","c"]')
     cfg = SPEC.scoring().with_(broadcast_max_bytes=1)
     s = score(fx.transaction_source(spark, SF_SMALL), refs(spark, SF_SMALL), cfg, score_from=SPEC.score_from)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

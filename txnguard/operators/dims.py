@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from txnguard.session import new_work_path
 
@@ -25,16 +26,19 @@ def materialize(df: DataFrame, label: str = "dim") -> DataFrame:
 
 
 def payload_bytes(df: DataFrame) -> Column:
-    """Aggregate column: data bytes of ``df`` (string/binary lengths, fixed widths
-    for the rest, 16 bytes per row for headers)."""
+    """Aggregate column: data bytes of ``df`` (string/binary lengths, JSON length of
+    nested values, fixed widths for the rest, 16 bytes per row for headers)."""
     widths = {"int": 4, "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
     row = F.lit(16)
     for f in df.schema.fields:
         t = f.dataType.simpleString()
+        c = F.col(f.name)
         if t in ("string", "binary"):
-            row = row + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+            row = row + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            row = row + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
         else:
-            row = row + F.lit(widths.get(t, 8))
+            row = row + F.lit(16 if t.startswith("decimal") else widths.get(t, 8))
     return F.sum(row.cast("long"))
 
 
