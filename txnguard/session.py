@@ -1,7 +1,7 @@
 """Session construction and the shared working folder.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; we only
-fall back to a fresh local temporary folder when the session has none (tests).
+On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; only a
+local master without that setting (tests) gets a fresh temporary folder.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,19 +39,40 @@ def build_session(master: str | None = None, app: str = "txnguard",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package's modules to the Python workers, once per Spark context, so functions that run
+    there import it whatever folder the driver was started in."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_txnguard_shipped", False):
+        top = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="txnguard-package-"), "txnguard.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("txnguard", os.path.relpath(full, top)))
+        sc.addPyFile(path)
+        sc._txnguard_shipped = True
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the folder all executors can see (``spark.checkpoint.dir``).
 
-    Reads the setting from the session; only where it is unset (local tests) a
-    fresh temporary folder is created and registered as the checkpoint dir.
+    Reads the setting from the session; only where it is unset on a local master
+    (tests) a fresh temporary folder is created and registered as the checkpoint
+    dir. On a cluster an unset folder is an error: executors do not share /tmp.
     """
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="txnguard-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
