@@ -1,7 +1,8 @@
 """Quality classifier by nearest-neighbour voting in a latent-semantic space (operator 6).
 
 A text is the vector of its byte-trigram counts (hashed, log-scaled, weighted by inverse document
-frequency), projected on the leading singular directions of a bounded labelled sample. The labelled
+frequency) and of the share of its words that repeat the word before, projected on the leading singular
+directions of a bounded labelled sample. The labelled
 vectors are broadcast (at most ``per_label`` rows a label times ``rank`` floats); every document's cosines
 with all of them come from blocked matrix products, and the ``k`` nearest vote with their similarity.
 
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnguard.llm import rolling
 from txnguard.llm.wordwise import whole_texts
 
 BUCKETS = 4096
@@ -25,6 +27,7 @@ RANK = 48
 PER_LABEL = 1500
 NEIGHBOURS = 25
 THRESHOLD = 0.3
+REPEAT_WEIGHT = 2.0
 #: Bytes whose trigrams are counted at a time.
 STEP = 4_000_000
 
@@ -55,16 +58,33 @@ def trigram_counts(texts: pa.Array, buckets: int = BUCKETS) -> np.ndarray:
     return out
 
 
+def repeat_shares(texts: pa.Array) -> np.ndarray:
+    """Share of each text's words that equal the word before."""
+    out = np.zeros(len(texts), np.float32)
+    for row, offsets, data in rolling.chunks(texts):
+        hashes, _, _, ends = rolling.word_hashes(data, offsets)
+        same = np.zeros(len(hashes) + 1, np.int64)
+        same[2:] = np.cumsum(hashes[1:] == hashes[:-1])
+        n = np.diff(ends)
+        inside = same[ends[1:]] - same[np.minimum(ends[:-1] + 1, ends[1:])]
+        out[row:row + len(n)] = np.where(n > 1, inside / np.maximum(n - 1, 1), 0)
+    return out
+
+
+def features(texts: pa.Array) -> np.ndarray:
+    """Trigram counts and, last, the repeat share."""
+    return np.concatenate((trigram_counts(texts), repeat_shares(texts)[:, None]), axis=1)
+
+
 class Voter:
     """The fitted model: directions, labelled vectors, labels. Small arrays of documented size."""
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, prior: float, rank: int, k: int):
         self.k, self.prior, self.labels = k, prior, labels.astype(np.float32)
         if len(counts):
-            x = np.log1p(counts)
-            df = (counts > 0).sum(0)
+            df = (counts[:, :-1] > 0).sum(0)
             self.idf = np.log((1 + len(counts)) / (1 + df)).astype(np.float32) + 1
-            x = self.unit(x * self.idf)
+            x = self.weighted(counts)
             rng = np.random.default_rng(0)
             rank = min(rank, *x.shape)
             basis = np.linalg.qr(x.T @ (x @ rng.standard_normal((x.shape[1], rank + 8), np.float32)))[0]
@@ -78,12 +98,16 @@ class Voter:
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
+    def weighted(self, counts: np.ndarray) -> np.ndarray:
+        """Unit trigram weights beside ``REPEAT_WEIGHT`` times the repeat share."""
+        return np.concatenate((self.unit(np.log1p(counts[:, :-1]) * self.idf), counts[:, -1:] * REPEAT_WEIGHT), axis=1)
+
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), self.prior)
         out = np.empty(len(counts))
         for at in range(0, len(counts), 512):
-            x = self.unit(np.log1p(counts[at:at + 512]) * self.idf) @ self.directions
+            x = self.weighted(counts[at:at + 512]) @ self.directions
             sims = self.unit(x) @ self.vectors.T
             k = min(self.k, sims.shape[1])
             near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
@@ -115,8 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
 
     def run(batches):
         for b in batches:
-            counts = trigram_counts(whole_texts(b))
-            packed = [c.tobytes() for c in np.minimum(counts, 65535).astype(np.uint16)]
+            packed = [c.astype(np.float32).tobytes() for c in features(whole_texts(b))]
             yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_y"), pa.array(packed, pa.binary())],
                                              ["_id", "_y", "counts"])
 
@@ -127,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     for r in got:  # repeated documents count once
         seen.setdefault(r["_id"], r)
     got = list(seen.values())
-    counts = np.array([np.frombuffer(r["counts"], np.uint16) for r in got], np.float32).reshape(len(got), -1)
+    counts = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(len(got), -1)
     return Voter(counts, np.array([r["_y"] for r in got], np.float32), 0.5 if prior is None else float(prior), rank, k)
 
 
@@ -139,7 +162,7 @@ def score_documents(docs: DataFrame, model: Voter, out: str = "score") -> DataFr
         voter = shared.value
         for b in batches:
             texts = whole_texts(b)
-            scores = [voter.score(trigram_counts(texts.slice(at, 512))) for at in range(0, len(texts), 512)]
+            scores = [voter.score(features(texts.slice(at, 512))) for at in range(0, len(texts), 512)]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in b.schema.names), pa.array(np.concatenate(scores) if scores else np.zeros(0))],
                 [*b.schema.names, out])

@@ -3,20 +3,40 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from txnguard.llm import bpe, token_files
+from txnguard.llm import ann, bpe, quality, sharding, simhash, token_files
 from txnguard.llm.common import documents
+from txnguard.sources.tables import read_table
+
+
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
 def op4_token_files(spark, sf_dir):
     return token_files.token_digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_multiprobe(spark, sf_dir):
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op6_quality(spark, sf_dir):
+    return quality.predictions(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
 
 
+def op8_sharding(spark, sf_dir):
+    placed = sharding.assign_shards(documents(spark, sf_dir), n_shards=24)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 
 LLM_ORACLES: dict[str, str] = {}
