@@ -5,11 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from txnguard.llm import ann, bpe, quality, sharding, simhash, token_files
+from txnguard.llm import ann, bpe, decontaminate, pii, quality, sharding, simhash, token_files
 from txnguard.llm.common import documents
 from txnguard.sources.tables import read_table
 
 
+def op1_decontaminate(spark, sf_dir):
+    """Pairs of a document and a benchmark item that it holds; clean documents have no row."""
+    return decontaminate.leaks(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         "doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -37,6 +42,10 @@ def op8_sharding(spark, sf_dir):
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op9_pii(spark, sf_dir):
+    return pii.find(documents(spark, sf_dir))
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 
 LLM_ORACLES: dict[str, str] = {}
