@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from txnguard.llm import ann, bpe, decontaminate, pii, quality, sharding, simhash, token_files
+from txnguard.llm import ann, bpe, decontaminate, pii, quality, sharding, simhash, substrings, suffix_dedup, token_files
 from txnguard.llm.common import documents
 from txnguard.sources.tables import read_table
 
@@ -20,6 +20,10 @@ def op2_simhash(spark, sf_dir):
         "doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op3_suffix_trees(spark, sf_dir):
+    return substrings.kept_texts(documents(spark, sf_dir), digest=True)
+
+
 def op4_token_files(spark, sf_dir):
     return token_files.token_digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -46,6 +50,10 @@ def op9_pii(spark, sf_dir):
     return pii.find(documents(spark, sf_dir))
 
 
+def op10_suffix_merge(spark, sf_dir):
+    return suffix_dedup.kept_bytes(documents(spark, sf_dir), digest=True)
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 
 LLM_ORACLES: dict[str, str] = {}
