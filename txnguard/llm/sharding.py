@@ -137,9 +137,9 @@ def assign_shards(docs: DataFrame, n_shards: int | None = None, capacity: int |
     spark = docs.sparkSession
     runs = spark.createDataFrame(runs, "_cls long, shard int, _first long, _last long")
     ranked = gapless(groups, ["cls"], ["grp"], "n", F.xxhash64("grp"), n_groups)
-    placed = (ranked.join(runs, (F.col("cls") == F.col("_cls")) & F.col("n").between(F.col("_first"), F.col("_last")))
-              .select(F.col("grp").alias("_grp"), "shard"))
-    dealt = rows.join(placed, F.col("grp") == F.col("_grp")).drop("_grp")
+    placed = staged(ranked.join(runs, (F.col("cls") == F.col("_cls")) & F.col("n").between(F.col("_first"), F.col("_last")))
+                    .select(F.col("grp").alias("_grp"), "shard"), "placed")
+    dealt = staged(rows.join(placed, F.col("grp") == F.col("_grp")).drop("_grp"), "dealt")
     n_rows = rows.count()
     return (gapless(dealt, ["shard"], ["doc_id", "grp"], "slot", F.xxhash64("doc_id", "grp"), n_rows)
             .select("doc_id", "size", "text_crc32", "shard", "slot"))
