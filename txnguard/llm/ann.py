@@ -176,7 +176,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
             .filter(F.col("id").isNotNull() & valid(F.col("v"))))
     queries = staged(rows.filter("q").select("id", "v").dropDuplicates(["id", "v"]), "queries")
     order = Window.partitionBy("v").orderBy("id")
-    index = staged(rows.select("id", "v").withColumn("_n", F.row_number().over(order))
+    index = staged(rows.select("id", "v").distinct().withColumn("_n", F.row_number().over(order))
                    .filter(F.col("_n") <= k + 1).drop("_n"), "vectors")
     n = index.count()
     sample = index.orderBy(F.xxhash64("id")).limit(SAMPLE_ROWS).select("v").collect()  # bounded, for the width only

@@ -188,27 +188,29 @@ def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE
 def redact(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """``docs`` with every span generalised to its kind, as in "[email]"; n_chars, where it exists, follows.
     Overlapping spans become the one that starts first."""
-    found = spans_by_row(docs, support, disclosure).withColumnRenamed("spans", "_spans")
+    found = spans_by_row(docs, support, disclosure)
     names = F.array(*[F.lit(f"[{k}]") for k in (*KINDS, "term")])
-    by_place = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    text = F.col("_all.text")
 
     def step(done, x):
-        gap = F.col("text").substr((done["at"] + 1).cast("int"), (x["s"] - done["at"]).cast("int"))
+        gap = text.substr((done["at"] + 1).cast("int"), (x["s"] - done["at"]).cast("int"))
         return F.when(x["s"] >= done["at"], F.struct(
             x["e"].alias("at"), F.concat(done["out"], F.array(gap, F.element_at(names, x["k"] + 1))).alias("out"))
         ).otherwise(F.struct(F.greatest(done["at"], x["e"]).alias("at"), done["out"].alias("out")))
 
-    done = F.aggregate(by_place, start, step)
-    rest = F.col("text").substr((F.col("_done.at") + 1).cast("int"), F.lit(2147483647))
-    cols = docs.columns
-    out = (docs.withColumn("_row", row_key())
-           .join(found, (F.col("_row") == F.col("_key")) & docs["doc_id"].eqNullSafe(found["_id"]), "left")
-           .withColumn("_done", F.when(F.col("_spans").isNotNull(), done))
-           .withColumn("text", F.when(F.col("_done").isNull(), F.col("text"))
-                       .otherwise(F.concat(F.array_join("_done.out", ""), rest))))
-    if "n_chars" in cols:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_done").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text")).cast(kind))
-    return out.select(*cols)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_all"), row_key().alias("_row"))
+    rows = rows.join(found, (F.col("_row") == F.col("_key")) & F.col("_all.doc_id").eqNullSafe(F.col("_id")), "left")
+    rows = rows.withColumn("_done", F.when(F.col("spans").isNotNull(), F.aggregate(by_place, start, step)))
+    rest = text.substr((F.col("_done.at") + 1).cast("int"), F.lit(2147483647))
+    rows = rows.withColumn("_new", F.when(F.col("_done").isNotNull(), F.concat(F.array_join("_done.out", ""), rest)))
+    out = []
+    for c in docs.columns:
+        value = F.col(f"_all.`{c}`")
+        if c == "text":
+            value = F.coalesce("_new", value)
+        elif c == "n_chars":
+            value = F.when(F.col("_new").isNull(), value).otherwise(F.length("_new")).cast(docs.schema[c].dataType)
+        out.append(value.alias(c))
+    return rows.select(*out)

@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     for r in got:  # repeated documents count once
         seen.setdefault(r["_id"], r)
     got = list(seen.values())
-    counts = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(len(got), -1)
+    counts = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(-1, BUCKETS + 1)
     return Voter(counts, np.array([r["_y"] for r in got], np.float32), 0.5 if prior is None else float(prior), rank, k)
 
 
