@@ -42,36 +42,35 @@ def test_hot_sender_trailing_velocity_exact(spark):
     t = hot_txn(spark)
     cols = ["txn_id", "txn_count_1m", "total_amount_1m", "txn_count_10m", "total_amount_10m", "stddev_amount_10m"]
     expected = _rounded(brute_velocity(t, CFG).select(*cols))
-    for bucket in (None, "3 days", "4 days"):  # 3 days = long window: every row copied once
-        got = _rounded(trailing_velocity(t, CFG.with_(velocity_bucket=bucket)).select(*cols))
-        assert got == expected, bucket
-
-
-def test_auto_grouped_narrows_buckets_for_dense_sender(spark):
-    from txnguard.operators.velocity import densest_window, grouped_bucket, trailing_velocity_auto
-    t = hot_txn(spark)
-    cfg = CFG.with_(dense_window_rows=8, grouped_target_rows=64)
-    dense = densest_window(t, cfg)
-    assert dense > 8 and grouped_bucket(cfg, dense) == "259200 seconds"  # one long window (3 days)
+    for piece in (None, "1 hour", "7 days"):
+        got = _rounded(trailing_velocity(t, CFG.with_(velocity_slice=piece)).select(*cols))
+        assert got == expected, piece
+
+
+def test_one_window_of_one_sender_is_split(spark):
+    """Most rows belong to one sender and lie inside one long window; slices far shorter than the window split
+    them, the result is exact and the plan has no Python node."""
+    t = hot_txn(spark).withColumn("event_time", F.when(
+        F.col("sender_id") == "USER_HOT",
+        F.expr("timestamp_ntz'2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, event_id * 60.001)")).otherwise(F.col("event_time")))
+    t = t.withColumn("sender_id", F.when(F.col("event_id") % 10 < 8, F.lit("USER_HOT")).otherwise(F.col("sender_id")))
     cols = ["txn_id", "txn_count_1m", "total_amount_1m", "txn_count_10m", "total_amount_10m", "stddev_amount_10m"]
-    expected = _rounded(brute_velocity(t, CFG).select(*cols))
-    assert _rounded(trailing_velocity_auto(t, cfg).select(*cols)) == expected
-
-
-def test_grouped_bucket_bounds():
-    from txnguard.operators.velocity import grouped_bucket
-    cfg = CFG.with_(grouped_target_rows=1000)
-    long_s = CFG.long_micros // 1_000_000
-    assert grouped_bucket(cfg, 1) == f"{8 * long_s} seconds"       # sparse: widest bucket
-    assert grouped_bucket(cfg, 250) == f"{4 * long_s} seconds"     # 1000 // 250 long windows
-    assert grouped_bucket(cfg, 10 ** 9) == f"{long_s} seconds"     # floor: one whole frame
+    v = trailing_velocity(t, CFG.with_(velocity_slice="1 hour")).select(*cols)
+    assert _rounded(v) == _rounded(brute_velocity(t, CFG).select(*cols))
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "hashpartitioning(sender_id" in plan
 
 
-def test_hot_sender_spread_over_partitions(spark):
-    t = hot_txn(spark)
-    v = trailing_velocity(t, CFG.with_(velocity_bucket="3 days"))
-    plan = v._jdf.queryExecution().executedPlan().toString()
-    assert "_v_bucket" in plan and "hashpartitioning(sender_id" in plan
+def test_null_amounts_and_times(spark):
+    rows = [("a", "s", 1.0, 1), ("b", "s", None, 2), ("c", "s", 3.0, 3), ("d", "s", float("nan"), 4), ("e", None, 1.0, 5),
+            ("f", "s", 1.0, None)]
+    df = spark.createDataFrame(rows, "txn_id string, sender_id string, amount double, s int").withColumn(
+        "event_time", F.expr("timestamp_ntz'2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, s)")).drop("s")
+    got = {r.txn_id: r for r in trailing_velocity(df, CFG).collect()}
+    assert [got[k].txn_count_1m for k in "abcd"] == [1, 2, 3, 4]
+    assert [got[k].total_amount_1m for k in "abcd"] == [1.0, 1.0, 4.0, 4.0]
+    assert got["c"].avg_amount_10m == 2.0 and abs(got["c"].stddev_amount_10m - 2 ** 0.5) < 1e-12
+    assert got["e"].txn_count_1m is None and got["f"].txn_count_1m is None and len(got) == 6
 
 
 def test_bucketed_lag_equals_plain_lag(spark):
@@ -101,6 +100,30 @@ def test_validity_segments_equal_brute_force(spark):
     assert got == expected
 
 
+def test_severities_are_taken_as_they_are(spark):
+    """No scale is assumed: 0 and 7 stay, a null severity never becomes the worst one."""
+    from txnguard.operators.enrich import enrich_with_blacklist, enrich_with_entity_blacklist_asof
+    day = "timestamp_ntz'2024-01-{:02d} 00:00:00'"
+    bl = spark.sql("select * from values " + ", ".join([
+        f"('A', 'DEVICE', 7, {day.format(1)}, {day.format(9)})", f"('A', 'DEVICE', null, {day.format(1)}, null)",
+        f"('B', 'DEVICE', 0, {day.format(1)}, null)", f"('C', 'DEVICE', null, {day.format(1)}, null)",
+        f"('U', 'USER', 9, {day.format(1)}, {day.format(5)})"]) + " as t(entity_id, entity_type, severity, listed_at, expires_at)")
+    txn = spark.sql("select * from values " + ", ".join(
+        f"('{d}{n}', '{d}', 'x', 'U', {day.format(n)})" for d in "ABC" for n in (3, 10)) +
+        " as t(txn_id, device_id, ip_address, receiver_id, event_time)")
+    got = {r.txn_id: r.bl_device_severity for r in enrich_with_entity_blacklist_asof(txn, bl, CFG).collect()}
+    assert got == {"A3": 7, "A10": None, "B3": 0, "B10": 0, "C3": None, "C10": None}
+    users = {r.txn_id: r.bl_receiver_severity for r in enrich_with_blacklist(txn, bl, CFG).collect()}
+    assert users == {k: 9 if k.endswith("3") else None for k in got}  # the expired listing no longer counts
+
+
+def test_first_delivery_never_merges_rows_without_key(spark):
+    from txnguard.sources.wire import first_delivery
+    df = spark.createDataFrame([(None, 1)] * 6 + [("a", 2), ("a", 1)], "txn_id string, kafka_ts int")
+    got = sorted(tuple(r) for r in first_delivery(df).filter("txn_id is not null").collect())
+    assert got == [("a", 1, 2)] and first_delivery(df).filter("txn_id is null").count() == 6
+
+
 def test_auto_geo_bucket_narrows_for_hot_sender(spark):
     from txnguard.operators.geo import DAY_MICROS, MINUTE_MICROS, bucket_width
     t = hot_txn(spark)
@@ -139,16 +162,6 @@ def test_pr_auc_frame_clustered_scores(spark):
     assert got["n_pos"] + got["n_neg"] == src.count()
 
 
-def test_grouped_kernel_equals_brute_force(spark):
-    from txnguard.operators.velocity import densest_window, trailing_velocity_grouped
-    t = hot_txn(spark)
-    cols = ["txn_id", "txn_count_1m", "total_amount_1m", "txn_count_10m", "total_amount_10m", "stddev_amount_10m"]
-    expected = _rounded(brute_velocity(t, CFG).select(*cols))
-    got = _rounded(trailing_velocity_grouped(t, CFG).select(*cols))
-    assert got == expected
-    assert densest_window(t, CFG) >= 30  # the hot sender
-
-
 def test_tree_path_equals_gather_path():
     import numpy as np
     from txnguard.functions.frames import frame_stats

@@ -59,13 +59,11 @@ class ScoringConfig:
     velocity_mode: str = "trailing"     # "trailing" (per-row window) | "self" (count 1, placeholder)
     zero_std: str = "zero"              # "zero": z = 0 when stddev <= 0 or missing; "unit": divide by 1
     calendar_tz: str | None = None      # None: event_time is already wall-clock UTC
-    velocity_bucket: str | None = None  # time split of a sender's rows; None -> 8 x long window
-    velocity_method: str = "auto"       # "window" | "grouped" | "auto" (grouped when a sender is dense)
-    dense_window_rows: int = 512        # rows per long window above which "auto" picks "grouped"
-    grouped_target_rows: int = 1_000_000  # "auto"+"grouped": bucket width aimed at this many rows of one sender
+    allowed_lateness: str = "1 hour"    # stream: rows late by at most this have their full window; later ones are scored on what is held
+    velocity_bucket: str | None = None  # stream: time split of a sender's state; None -> 8 x long window
+    velocity_slice: str | None = None   # batch: time split of a sender's running sums; None -> the long window
     broadcast_max_rows: int = 2_000_000  # dims at most this many rows ...
     broadcast_max_bytes: int = 50 * 1024 * 1024  # ... and this many data bytes are broadcast (original: 50 MB)
-    blacklist_severity_levels: int = 5  # severities 1..5
 
     @property
     def short_micros(self) -> int:
@@ -75,6 +73,14 @@ class ScoringConfig:
     def long_micros(self) -> int:
         return duration_micros(self.long_window)
 
+    @property
+    def slice_micros(self) -> int:
+        return duration_micros(self.velocity_slice) if self.velocity_slice else self.long_micros
+
+    @property
+    def lateness_micros(self) -> int:
+        return duration_micros(self.allowed_lateness)
+
     @property
     def bucket_micros(self) -> int:
         b = duration_micros(self.velocity_bucket) if self.velocity_bucket else 8 * self.long_micros

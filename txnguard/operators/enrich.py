@@ -24,7 +24,13 @@ def max_severity(blacklist: DataFrame, entity_type: str) -> DataFrame:
 
 def blacklist_dimension(blacklist: DataFrame, cfg: ScoringConfig = ScoringConfig(), entity_type: str = "USER",
                         out: str = "bl_receiver_severity", materialize: bool = True) -> DataFrame:
-    """Join-ready side of J1: (_bl_key, <out>), one row per listed entity, size-checked."""
+    """Join-ready side of J1, size-checked. A list without validity: (_bl_key, <out>), one row per entity. A list with
+    ``listed_at``: (_bl_key, _bl_from, _bl_to, <out>), non-overlapping segments, so expired listings don't match."""
+    if "listed_at" in blacklist.columns:
+        seg = validity_segments(blacklist, entity_type).select(
+            F.col("entity_id").alias("_bl_key"), F.col("seg_start").alias("_bl_from"), F.col("seg_end").alias("_bl_to"),
+            F.col("severity").cast("int").alias(out))
+        return sized_dimension(seg, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     bl = max_severity(blacklist, entity_type).select(
         F.col("entity_id").alias("_bl_key"), F.col("severity").cast("int").alias(out))
     return sized_dimension(bl, cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
@@ -33,10 +39,14 @@ def blacklist_dimension(blacklist: DataFrame, cfg: ScoringConfig = ScoringConfig
 def enrich_with_blacklist(txn: DataFrame, blacklist: DataFrame | None, cfg: ScoringConfig = ScoringConfig(),
                           key: str = "receiver_id", entity_type: str = "USER",
                           out: str = "bl_receiver_severity", materialize: bool = True,
-                          dim: DataFrame | None = None) -> DataFrame:
+                          dim: DataFrame | None = None, ts: str = "event_time") -> DataFrame:
     """``dim``: a ``blacklist_dimension`` prepared earlier (then ``blacklist`` is unused)."""
     bl = dim if dim is not None else blacklist_dimension(blacklist, cfg, entity_type, out, materialize)
-    return txn.join(bl, txn[key] == bl["_bl_key"], "left").drop("_bl_key")
+    cond = txn[key] == bl["_bl_key"]
+    if "_bl_from" in bl.columns:
+        t = txn[ts].cast("timestamp_ntz")
+        cond = cond & (bl["_bl_from"] <= t) & (bl["_bl_to"].isNull() | (t < bl["_bl_to"]))
+    return txn.join(bl, cond, "left").drop("_bl_key", "_bl_from", "_bl_to")
 
 
 def baseline_dimension(baseline: DataFrame, cfg: ScoringConfig = ScoringConfig(),
@@ -109,37 +119,28 @@ def enrich_with_entity_blacklist(txn: DataFrame, blacklist: DataFrame, cfg: Scor
     return txn
 
 
-def validity_segments(blacklist: DataFrame, entity_type: str | list[str], levels: int = 5) -> DataFrame:
+def validity_segments(blacklist: DataFrame, entity_type: str | list[str]) -> DataFrame:
     """Turn possibly overlapping listings [listed_at, expires_at) of the given entity
     type(s) into non-overlapping segments carrying the highest active severity.
 
-    Each listing adds +1 at ``listed_at`` and -1 at ``expires_at`` to the counter of
-    its severity level; running sums per (entity type, entity) give the active levels
-    between consecutive boundaries. Work is on the (small) list only, and a
-    transaction then matches at most one segment, so the range join needs no
-    post-join aggregation. Severities outside 1..levels are clamped into that range.
+    Between two neighbouring boundaries of an entity (starts and ends of its listings) the active listings do not
+    change; each listing is met with the boundaries it covers, and their highest severity is kept. Severities
+    are taken as they are, whatever their scale; a null severity never beats another and alone gives no
+    segment, as in ``max``. Work is on the list only, and a transaction then matches at most one segment, so the
+    range join needs no post-join aggregation.
     Output: entity_type, entity_id, seg_start, seg_end (null = open), severity.
     """
     types = [entity_type] if isinstance(entity_type, str) else list(entity_type)
     keys = ["entity_type", "entity_id"]
-    bl = (blacklist.filter(F.col("entity_type").isin(types))
-          .filter(F.col("listed_at").isNotNull())
-          .select(*keys, F.col("listed_at").cast("timestamp_ntz").alias("listed_at"),
-                  F.col("expires_at").cast("timestamp_ntz").alias("expires_at"),
-                  F.greatest(F.lit(1), F.least(F.lit(levels), F.col("severity"))).alias("sev")))
-    starts = bl.select(*keys, F.col("listed_at").alias("t"), "sev", F.lit(1).alias("d"))
-    ends = (bl.filter(F.col("expires_at").isNotNull())
-            .select(*keys, F.col("expires_at").alias("t"), "sev", F.lit(-1).alias("d")))
-    deltas = (starts.unionByName(ends)
-              .groupBy(*keys, "t")
-              .agg(*[F.sum(F.when(F.col("sev") == s, F.col("d")).otherwise(F.lit(0))).alias(f"d{s}")
-                     for s in range(1, levels + 1)]))
-    w = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    running = deltas.select(*keys, "t",
-                            F.lead("t").over(Window.partitionBy(*keys).orderBy("t")).alias("seg_end"),
-                            *[F.sum(f"d{s}").over(w).alias(f"c{s}") for s in range(1, levels + 1)])
-    top = F.coalesce(*[F.when(F.col(f"c{s}") > 0, F.lit(s)) for s in range(levels, 0, -1)])
-    return (running.select(*keys, F.col("t").alias("seg_start"), "seg_end", top.alias("severity"))
+    bl = (blacklist.filter(F.col("entity_type").isin(types) & F.col("listed_at").isNotNull())
+          .select(*keys, F.col("listed_at").cast("timestamp_ntz").alias("_from"),
+                  F.col("expires_at").cast("timestamp_ntz").alias("_to"), "severity").distinct())
+    points = bl.select(*keys, F.explode(F.array("_from", "_to")).alias("seg_start")).filter("seg_start is not null").distinct()
+    after = Window.partitionBy(*keys).orderBy("seg_start")
+    points = points.withColumn("seg_end", F.lead("seg_start").over(after))
+    return (points.join(bl, keys)
+            .filter((F.col("_from") <= F.col("seg_start")) & (F.col("_to").isNull() | (F.col("seg_start") < F.col("_to"))))
+            .groupBy(*keys, "seg_start", "seg_end").agg(F.max("severity").alias("severity"))
             .filter(F.col("severity").isNotNull()))
 
 
@@ -152,7 +153,7 @@ def enrich_with_entity_blacklist_asof(txn: DataFrame, blacklist: DataFrame, cfg:
     Segments of all entity types are built in one pass, written and size-checked
     once; each type's join reads its slice of that table."""
     keys = keys or {"DEVICE": ("device_id", "bl_device_severity"), "IP": ("ip_address", "bl_ip_severity")}
-    seg_all = sized_dimension(validity_segments(blacklist, list(keys), cfg.blacklist_severity_levels),
+    seg_all = sized_dimension(validity_segments(blacklist, list(keys)),
                               cfg.broadcast_max_rows, materialize, cfg.broadcast_max_bytes)
     t = txn[ts].cast("timestamp_ntz")
     for etype, (key, out) in keys.items():

@@ -98,6 +98,13 @@ def fit_model(train: DataFrame, mcfg: ModelConfig = ModelConfig(), materialize_i
     return build_pipeline(mcfg, weight).fit(data)
 
 
+def fit_stages(train: DataFrame, last: str, mcfg: ModelConfig = ModelConfig()) -> PipelineModel:
+    """The pipeline's stages up to the last one of class ``last``, fitted on ``train`` (no trees unless asked)."""
+    stages = build_pipeline(mcfg).getStages()
+    n = max(i for i, s in enumerate(stages) if type(s).__name__ == last) + 1
+    return Pipeline(stages=stages[:n]).fit(prepare_features(train, mcfg))
+
+
 def score_with_model(df: DataFrame, model: PipelineModel, mcfg: ModelConfig = ModelConfig()) -> DataFrame:
     """+ ml_fraud_score = P(class 1) (JVM ``vector_to_array``); every other
     model-generated column is dropped, input columns are kept as they are."""

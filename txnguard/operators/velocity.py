@@ -4,22 +4,21 @@
   original's 1 min / 30 s and 10 min / 1 min aggregates (Expand + partial/final
   hash aggregate, so a hot sender is pre-aggregated map-side).
 * ``trailing_velocity`` (V3): per transaction, count / sum / avg / stddev of the same
-  sender over [t - d, t] (RANGE frame: ties count, the row itself counts).
+  sender over [t - d, t] (ties count, the row itself counts).
 * ``self_velocity`` (P6): the original placeholder (count 1, totals = amount).
 
-Skew: a single sender may own a large share of all rows, so the trailing window is
-not partitioned by sender alone. Rows are split into time buckets of width B >= d
-(default 8 x the long window) and partitioned by (sender, bucket); the rows within d
-of a bucket's end are also copied into the next bucket as context (~d/B extra rows).
-Every frame [t - d, t] then lies inside one (sender, bucket) partition, so results
-are exact while one task never holds more than B + d of a sender's history.
+The trailing window is a difference of running sums: each row adds its amount at t and takes it back just after
+t + d, so the sum up to t holds what lies in [t - d, t]. Running sums are taken inside (sender, time slice), and
+the totals of the slices before are added to them. The work is linear in the rows however many a window
+holds, and a slice may be shorter than the window, so a hot sender's rows, even those of one window, are split
+over many tasks. Amounts are money and are taken at four decimals, as whole numbers; all sums are exact, so
+taking back leaves no rounding error and the order of rows doesn't matter.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import TimestampNTZType
 
 from txnguard.config import ScoringConfig
@@ -40,112 +39,59 @@ def sliding_velocity(df: DataFrame, size: str, slide: str, suffix: str = "1m",
             .select(key, F.col("window.end").alias(end_col), *aggs))
 
 
+#: Whole units of an amount's fourth decimal.
+UNITS = 10_000
+
+
 def trailing_velocity(df: DataFrame, cfg: ScoringConfig = ScoringConfig(), key: str = "sender_id",
                       ts: str = "event_time", amount: str = "amount") -> DataFrame:
     """Adds txn_count_1m, total_amount_1m, txn_count_10m, total_amount_10m,
     avg_amount_10m, stddev_amount_10m (names of the original; the spans are
-    ``cfg.short_window`` / ``cfg.long_window``)."""
-    d1, d2, width = cfg.short_micros, cfg.long_micros, cfg.bucket_micros
-    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
-    staged = _bucket_stage(df, epoch_micros(ts, ntz=ntz), width, d2)
-    part = Window.partitionBy(key, "_v_bucket").orderBy("_v_us")
-    w1 = part.rangeBetween(-d1, 0)
-    w2 = part.rangeBetween(-d2, 0)
-    amt = F.col(amount)
-    out = (staged.withColumns({
-        "txn_count_1m": F.count(F.lit(1)).over(w1).cast("int"),
-        "total_amount_1m": F.sum(amt).over(w1),
-        "txn_count_10m": F.count(F.lit(1)).over(w2).cast("int"),
-        "total_amount_10m": F.sum(amt).over(w2),
-        "avg_amount_10m": F.avg(amt).over(w2),
-        "stddev_amount_10m": F.stddev_samp(amt).over(w2),
-    }))
-    return out.filter(F.col("_v_copy") == 0).drop("_v_us", "_v_copy", "_v_bucket")
-
-
-def densest_window(df: DataFrame, cfg: ScoringConfig = ScoringConfig(), key: str = "sender_id",
-                   ts: str = "event_time") -> int:
-    """Most rows any sender has in one aligned long-window span (one partial +
-    final aggregate; a single number comes back to the driver). A frame holds at
-    most twice this many rows."""
-    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
-    us = epoch_micros(ts, ntz=ntz)
-    span = F.expr(f"(_d_us - pmod(_d_us, {cfg.long_micros})) div {cfg.long_micros}")
-    per = (df.select(F.col(key), us.alias("_d_us")).groupBy(key, span.alias("_d_span"))
-           .agg(F.count(F.lit(1)).alias("n")))
-    return int(per.agg(F.max("n")).first()[0] or 0)
-
-
-def trailing_velocity_grouped(df: DataFrame, cfg: ScoringConfig = ScoringConfig(), key: str = "sender_id",
-                              ts: str = "event_time", amount: str = "amount", slots: int | None = None) -> DataFrame:
-    """Same result as ``trailing_velocity`` for dense senders: rows are grouped by
-    (hash slot of the sender, time bucket) - the same bucket split and context
-    copies - and each group is evaluated by a numpy kernel in O(n log n) instead of
-    Spark's per-row recomputation of a sliding frame (O(rows x rows per window))."""
-    import numpy as np
-    import pandas as pd
-
-    from txnguard.functions.frames import frame_stats
-
-    d1, d2, width = cfg.short_micros, cfg.long_micros, cfg.bucket_micros
-    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
-    if slots is None:
-        slots = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    staged = _bucket_stage(df, epoch_micros(ts, ntz=ntz), width, d2)
-    staged = staged.withColumn("_v_slot", F.pmod(F.xxhash64(key), F.lit(slots)))
-    out_fields = [f for f in df.schema.fields] + [
-        T.StructField("txn_count_1m", T.IntegerType()), T.StructField("total_amount_1m", T.DoubleType()),
-        T.StructField("txn_count_10m", T.IntegerType()), T.StructField("total_amount_10m", T.DoubleType()),
-        T.StructField("avg_amount_10m", T.DoubleType()), T.StructField("stddev_amount_10m", T.DoubleType())]
-    out_schema = T.StructType(out_fields)
-    names = [f.name for f in out_fields]
-
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        snd = pdf[key].to_numpy(dtype=object)
-        us = pdf["_v_us"].to_numpy(dtype=np.int64)
-        amt = pdf[amount].to_numpy(dtype=np.float64)
-        own = pdf["_v_copy"].to_numpy() == 0
-        c1, s1, _, _ = frame_stats(snd, us, amt, snd[own], us[own], d1)
-        c2, s2, a2, sd2 = frame_stats(snd, us, amt, snd[own], us[own], d2)
-        return pdf[own].assign(txn_count_1m=c1.astype(np.int32), total_amount_1m=s1,
-                               txn_count_10m=c2.astype(np.int32), total_amount_10m=s2,
-                               avg_amount_10m=a2, stddev_amount_10m=sd2)[names]
-
-    return staged.groupBy("_v_slot", "_v_bucket").applyInPandas(per_group, out_schema)
-
-
-def _bucket_stage(df: DataFrame, us, width: int, d2: int) -> DataFrame:
-    bucket = F.expr(f"(_v_us - pmod(_v_us, {width})) div {width}")
-    in_tail = F.col("_v_us") >= (bucket + 1) * F.lit(width) - F.lit(d2)
-    copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (df.withColumn("_v_us", us)
-            .withColumn("_v_copy", F.explode(copies))
-            .withColumn("_v_bucket", bucket + F.col("_v_copy")))
-
-
-def trailing_velocity_auto(df: DataFrame, cfg: ScoringConfig = ScoringConfig(), key: str = "sender_id",
-                           ts: str = "event_time", amount: str = "amount") -> DataFrame:
-    """``cfg.velocity_method``: "window" (JVM sliding frames), "grouped" (numpy
-    kernel), or "auto": the window unless some sender has more than
-    ``cfg.dense_window_rows`` rows in one long-window span."""
-    method = cfg.velocity_method
-    if method == "auto":
-        densest = densest_window(df, cfg, key, ts)
-        method = "grouped" if densest > cfg.dense_window_rows else "window"
-        if method == "grouped" and cfg.velocity_bucket is None:
-            cfg = cfg.with_(velocity_bucket=grouped_bucket(cfg, densest))
-    if method == "grouped":
-        return trailing_velocity_grouped(df, cfg, key, ts, amount)
-    return trailing_velocity(df, cfg, key, ts, amount)
-
-
-def grouped_bucket(cfg: ScoringConfig, densest: int) -> str:
-    """Bucket width for the grouped path from the densest long-window span: as many
-    long windows (1 to 8) as keep a hot sender near ``grouped_target_rows`` rows per
-    group. One long window is the floor (a group must hold a whole frame), so a
-    group never exceeds about twice the densest window plus its context."""
-    spans = max(1, min(8, cfg.grouped_target_rows // max(densest, 1)))
-    return f"{spans * cfg.long_micros // 1_000_000} seconds"
+    ``cfg.short_window`` / ``cfg.long_window``, slices ``cfg.velocity_slice``).
+
+    A null or non-finite amount counts as a row but not in sums; rows without a sender or time have no velocity."""
+    d1, d2, width = cfg.short_micros, cfg.long_micros, cfg.slice_micros
+    us = epoch_micros(ts, ntz=isinstance(df.schema[ts].dataType, TimestampNTZType))
+    rows = df.withColumns({"_v_t": us, "_v_x": F.round(F.col(amount) * UNITS).try_cast("long")})
+    usable = F.col(key).isNotNull() & F.col("_v_t").isNotNull()
+
+    def change(at: int, short: int, long: int):
+        return F.struct((F.col("_v_t") + at).alias("t"), F.lit(short).alias("short"), F.lit(long).alias("long"))
+
+    changes = (rows.filter(usable)
+               .withColumn("_v", F.explode(F.array(change(0, 1, 1), change(d1 + 1, -1, 0), change(d2 + 1, 0, -1))))
+               .withColumn("_v_own", (F.col("_v.short") == 1) & (F.col("_v.long") == 1))
+               .withColumn("_v_slice", F.floor(F.col("_v.t") / width)))
+    known = F.when(F.col("_v_x").isNull(), 0).otherwise(1)
+    x = F.coalesce("_v_x", F.lit(0).cast("long"))
+    parts = {"_n1": F.col("_v.short"), "_n2": F.col("_v.long"),
+             "_k1": F.col("_v.short") * known, "_k2": F.col("_v.long") * known,
+             "_s1": F.col("_v.short") * x, "_s2": F.col("_v.long") * x,
+             "_q2": F.col("_v.long") * x.cast("decimal(19,0)") * x.cast("decimal(19,0)")}
+    totals = (changes.groupBy(F.col(key).alias("_o_key"), F.col("_v_slice").alias("_o_slice"))
+              .agg(*[F.sum(v).alias(n) for n, v in parts.items()]))
+    before = Window.partitionBy("_o_key").orderBy("_o_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_o_key", "_o_slice", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{n}")
+                                                   for n in parts])
+    upto = (Window.partitionBy(key, "_v_slice").orderBy(F.col("_v.t"))
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    own = (changes.withColumns({n: F.sum(v).over(upto) for n, v in parts.items()}).filter("_v_own")
+           .join(totals, (F.col(key) == F.col("_o_key")) & (F.col("_v_slice") == F.col("_o_slice"))))
+    n1, n2, k1, k2, s1, s2, q2 = (F.col(n) + F.col(f"_o{n}") for n in parts)
+    spread = k2.cast("decimal(10,0)") * q2.cast("decimal(38,0)") - s2.cast("decimal(19,0)") * s2.cast("decimal(19,0)")
+    variance = spread.cast("double") / (k2 * (k2 - 1)).cast("double") / F.lit(float(UNITS) ** 2)
+    units = F.lit(float(UNITS))
+    out = {"txn_count_1m": n1.cast("int"),
+           "total_amount_1m": F.when(k1 > 0, s1.cast("double") / units),
+           "txn_count_10m": n2.cast("int"),
+           "total_amount_10m": F.when(k2 > 0, s2.cast("double") / units),
+           "avg_amount_10m": F.when(k2 > 0, s2.cast("double") / k2.cast("double") / units),
+           "stddev_amount_10m": F.when(k2 > 1, F.sqrt(variance))}
+    scored = own.select(*df.columns, *[v.alias(n) for n, v in out.items()])
+    if not df.schema[key].nullable and not df.schema[ts].nullable:
+        return scored
+    rest = rows.filter(~usable).select(*df.columns, *[F.lit(None).cast(scored.schema[n].dataType).alias(n) for n in out])
+    return scored.unionByName(rest)
 
 
 def self_velocity(df: DataFrame) -> DataFrame:

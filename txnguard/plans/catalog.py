@@ -8,8 +8,10 @@ INT, flag arrays rendered as text (positions kept).
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +20,14 @@ from txnguard.functions.expressions import (
     epoch_micros, instant_to_utc_ntz, ntz_literal, rounded, zscore_unit,
 )
 from txnguard.operators import ml
+from txnguard.operators.dims import materialize
 from txnguard.operators.enrich import (
     add_calendar, enrich_with_baseline, enrich_with_blacklist, enrich_with_device,
     enrich_with_entity_blacklist, enrich_with_entity_blacklist_asof,
 )
 from txnguard.operators.geo import geo_velocity
-from txnguard.operators.rules import flags_text
-from txnguard.operators.velocity import self_velocity, sliding_velocity, trailing_velocity_auto
+from txnguard.operators.rules import apply_rules, blend, flags_text
+from txnguard.operators.velocity import self_velocity, sliding_velocity, trailing_velocity
 from txnguard.plans.scoring import ReferenceTables, alerts, features, score
 from txnguard.session import new_work_path
 from txnguard.sources import fixtures as fx
@@ -39,6 +42,7 @@ SPEC = FixtureSpec()
 CFG = SPEC.scoring()          # fixture windows 1 day / 3 days, large amount 100
 REF_CFG = ScoringConfig()     # the original operating point (1 min / 10 min windows)
 MCFG = ModelConfig()
+EXACT = replace(MCFG, median_relative_error=0.0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +56,9 @@ def refs(spark: SparkSession, sf: str) -> ReferenceTables:
                            fx.known_devices(spark, sf, SPEC))
 
 
-def scored(spark: SparkSession, sf: str, score_from=SPEC.score_from, model=None) -> DataFrame:
-    return score(fx.transaction_source(spark, sf), refs(spark, sf), CFG, model=model, score_from=score_from)
+def scored(spark: SparkSession, sf: str, model=None) -> DataFrame:
+    """Every payment, scored."""
+    return score(fx.transaction_source(spark, sf), refs(spark, sf), CFG, model=model, mcfg=MCFG)
 
 
 # ---- parsing, rejects, dedup ----------------------------------------------------
@@ -98,12 +103,7 @@ def _velocity_out(df):
 
 
 def q12_trailing_velocity(spark, sf):
-    return _velocity_out(trailing_velocity_auto(fx.transactions(spark, sf), CFG))
-
-
-def q12_trailing_velocity_dense(spark, sf):
-    """V3 through the grouped O(n log n) kernel (the path "auto" takes for dense senders)."""
-    return _velocity_out(trailing_velocity_auto(fx.transactions(spark, sf), CFG.with_(velocity_method="grouped")))
+    return _velocity_out(trailing_velocity(fx.transactions(spark, sf), CFG))
 
 
 def q13_self_velocity(spark, sf):
@@ -226,61 +226,72 @@ def q30_alerts(spark, sf):
 
 # ---- model --------------------------------------------------------------------------
 
-_MODELS: dict[str, object] = {}
-
-
 def labelled(spark, sf) -> DataFrame:
     f = features(fx.transaction_source(spark, sf), refs(spark, sf), CFG)
     return f.withColumn(MCFG.label, ml.fraud_label())
 
 
+def _kept(spark, key: str, make):
+    """What one session has prepared already; it goes with the session."""
+    kept = spark.__dict__.setdefault("_txnguard_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def split(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of one written feature table: joins and windows run once for both parts."""
+    table = _kept(spark, f"features:{sf}", lambda: materialize(labelled(spark, sf), "features"))
+    return ml.time_split(table, SPEC.score_from)
+
+
 def fitted(spark, sf):
-    """Fit once per session and table folder; reused by the model queries."""
-    key = f"{id(spark)}:{sf}"
-    if key not in _MODELS:
-        train, _ = ml.time_split(labelled(spark, sf), SPEC.score_from)
-        _MODELS[key] = ml.fit_model(train, MCFG)
-    return _MODELS[key]
+    """The whole pipeline, fitted once per session and table folder."""
+    return _kept(spark, f"model:{sf}", lambda: ml.fit_model(split(spark, sf)[0], MCFG))
+
+
+def fitted_until(spark, sf, stage: str, mcfg: ModelConfig = MCFG):
+    """The pipeline's stages up to ``stage`` (a class name), fitted without the trees."""
+    return ml.fit_stages(split(spark, sf)[0], stage, mcfg)
 
 
 def q22_split_class_weight(spark, sf):
     lab = labelled(spark, sf)
-    split = F.when(F.col("event_time") < ntz_literal(SPEC.score_from), "train").otherwise("test")
-    lab = lab.select(split.alias("split"), MCFG.label)
+    part = F.when(F.col("event_time") < ntz_literal(SPEC.score_from), "train").otherwise("test")
+    lab = lab.select(part.alias("split"), MCFG.label)
     w = ml.class_weight_table(lab.filter(F.col("split") == "train"), MCFG.label).select(MCFG.label, "class_weight")
     return (lab.groupBy("split", MCFG.label).agg(F.count(F.lit(1)).alias("n_rows"))
             .join(F.broadcast(w), MCFG.label, "left")
             .select("split", MCFG.label, "n_rows", rounded("class_weight").alias("class_weight")))
 
 
+def _medians(model) -> DataFrame:
+    sur = model.stages[0].surrogateDF
+    return sur.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("surrogate")) for c in sur.columns])).alias("s")
+    ).select("s.*")
+
+
 def q23_impute(spark, sf):
-    imputer = fitted(spark, sf).stages[0]
-    sur = imputer.surrogateDF
-    cols = sur.columns
-    return sur.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"),
-                                                   F.col(c).cast("double").alias("surrogate"))
-                                          for c in cols])).alias("s")).select("s.*")
+    """The exact median of every numeric feature over the training rows."""
+    return _medians(fitted_until(spark, sf, "Imputer", EXACT)).select("feature", rounded("surrogate").alias("surrogate"))
 
 
 def q23_imputed_columns(spark, sf):
-    """Features that had missing training values: how many, and the median used."""
-    imputer = fitted(spark, sf).stages[0]
-    train, _ = ml.time_split(labelled(spark, sf), SPEC.score_from)
-    inputs = imputer.getInputCols()
+    """Per numeric feature: how many training values were missing, and the median used."""
+    model = fitted_until(spark, sf, "Imputer", EXACT)
+    train, _ = split(spark, sf)
     missing = train.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.sum(F.col(c).isNull().cast("long")).alias("n_missing"))
-        for c in inputs])).alias("m")).select("m.*")
-    sur = imputer.surrogateDF.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("surrogate")) for c in inputs])).alias("s")
-    ).select("s.*")
-    return missing.filter(F.col("n_missing") > 0).join(sur, "feature")
+        for c in model.stages[0].getInputCols()])).alias("m")).select("m.*")
+    return missing.join(_medians(model), "feature")
 
 
 def q24_index(spark, sf):
-    model = fitted(spark, sf)
-    train, _ = ml.time_split(labelled(spark, sf), SPEC.score_from)
+    model = fitted_until(spark, sf, "StringIndexer")
+    train, _ = split(spark, sf)
     out = None
-    for stage in model.stages[1:1 + len(MCFG.categorical_features)]:
+    for stage in model.stages[1:]:
         c = stage.getInputCol()
         part = (stage.transform(train.select(c))
                 .groupBy(F.col(c).alias("value"), F.col(stage.getOutputCol()).alias("idx"))
@@ -290,20 +301,11 @@ def q24_index(spark, sf):
     return out
 
 
-def _transform_until(model, df, n_stages):
-    for stage in model.stages[:n_stages]:
-        df = stage.transform(df)
-    return df
-
-
 def q25_assemble(spark, sf):
     """The assembled feature vector of each scored (test) row, one row per position:
     txn_id, feature, value (imputed numerics, then category indexes)."""
-    from pyspark.ml.functions import vector_to_array
-    model = fitted(spark, sf)
-    _, test = ml.time_split(labelled(spark, sf), SPEC.score_from)
-    n = 1 + len(MCFG.categorical_features) + 1
-    out = _transform_until(model, ml.prepare_features(test, MCFG), n)
+    _, test = split(spark, sf)
+    out = fitted_until(spark, sf, "VectorAssembler").transform(ml.prepare_features(test, MCFG))
     names = F.array(*[F.lit(c) for c in (*MCFG.numeric_features, *MCFG.categorical_features)])
     return (out.select("txn_id", F.posexplode(vector_to_array("features_raw")).alias("pos", "value"))
             .select("txn_id", F.element_at(names, F.col("pos") + 1).alias("feature"),
@@ -311,31 +313,32 @@ def q25_assemble(spark, sf):
 
 
 def q26_scale(spark, sf):
-    model = fitted(spark, sf)
-    scaler = model.stages[-2]
-    names = [f"{c}" for c in ml.model_inputs(MCFG)] + list(MCFG.categorical_features)
-    std = [float(x) for x in scaler.std.toArray()]
-    return spark.createDataFrame(list(zip(names, std)), "feature string, std double").select(
+    scaler = fitted_until(spark, sf, "StandardScaler").stages[-1]
+    names = [*ml.model_inputs(MCFG), *MCFG.categorical_features]
+    std = [float(x) for x in scaler.std.toArray()]  # one number per feature
+    return spark.createDataFrame(list(zip(names, std, strict=True)), "feature string, std double").select(
         "feature", rounded("std").alias("std"))
 
 
 def q27_fit_score(spark, sf):
-    _, test = ml.time_split(labelled(spark, sf), SPEC.score_from)
+    """Every test row scored: whether the score is a probability, and whether the only column added is the score."""
+    _, test = split(spark, sf)
     s = ml.score_with_model(test, fitted(spark, sf), MCFG)
-    return s.select("txn_id", rounded("ml_fraud_score").alias("ml_fraud_score"))
+    added = [c for c in s.columns if c not in test.columns]
+    return s.select("txn_id", F.col("ml_fraud_score").between(0, 1).cast("int").alias("in_range"),
+                    F.lit(int(added == ["ml_fraud_score"] and s.columns[:-1] == test.columns)).alias("only_score_added"))
 
 
 def q28_save_load(spark, sf):
+    """Every test row scored by the fitted and by the saved and reloaded model: 1 where both agree."""
     model = fitted(spark, sf)
     path = new_work_path(spark, "model")
     ml.save_model(model, path)
     again = ml.load_model(path)
-    _, test = ml.time_split(labelled(spark, sf), SPEC.score_from)
+    _, test = split(spark, sf)
     a = ml.score_with_model(test, model, MCFG).select("txn_id", "ml_fraud_score")
     b = ml.score_with_model(test, again, MCFG).select("txn_id", F.col("ml_fraud_score").alias("reloaded_score"))
-    return (a.join(b, "txn_id")
-            .select("txn_id", *_r("ml_fraud_score", "reloaded_score"),
-                    (F.col("ml_fraud_score") == F.col("reloaded_score")).cast("int").alias("same")))
+    return a.join(b, "txn_id").select("txn_id", (F.col("ml_fraud_score") == F.col("reloaded_score")).cast("int").alias("same"))
 
 
 def q29_pr_auc(spark, sf):
@@ -344,25 +347,31 @@ def q29_pr_auc(spark, sf):
 
 
 def q29_pr_auc_model(spark, sf):
-    _, test = ml.time_split(labelled(spark, sf), SPEC.score_from)
-    s = ml.score_with_model(test, fitted(spark, sf), MCFG)
-    return ml.pr_auc_frame(s, "ml_fraud_score", MCFG.label).select(rounded("pr_auc").alias("pr_auc"),
-                                                                   "n_pos", "n_neg")
+    """PR-AUC of the model on the later part: class counts, and 1 if it equals MLlib's own evaluator within 1e-9."""
+    _, test = split(spark, sf)
+    model = fitted(spark, sf)
+    pred = materialize(model.transform(ml.prepare_features(test, MCFG)).select(
+        MCFG.label, "probability", vector_to_array("probability")[1].alias("ml_fraud_score")), "predictions")
+    reference = ml.pr_auc_evaluator(pred, MCFG.label, "probability")
+    return ml.pr_auc_frame(pred, "ml_fraud_score", MCFG.label).select(
+        (F.abs(F.col("pr_auc") - reference) < 1e-9).cast("int").alias("equals_evaluator"), "n_pos", "n_neg")
 
 
 def q30_alerts_blended(spark, sf):
-    s = scored(spark, sf, model=fitted(spark, sf))
-    return _alert_out(alerts(s, CFG))
+    """R9: equal parts of the rule score and a score of the model's range that follows from event_id."""
+    f = features(fx.transaction_source(spark, sf), refs(spark, sf), CFG)
+    ml_score = ((F.col("event_id") * 37) % 101).cast("double") / F.lit(100.0)
+    return _alert_out(alerts(blend(apply_rules(f, CFG).withColumn("ml_fraud_score", ml_score), CFG), CFG))
 
 
 # ---- streaming ----------------------------------------------------------------------
 
-def _wire_stream(spark, sf, faults=False, duplicates=False, n_files=4) -> DataFrame:
+def _wire_stream(spark, sf, faults=False, duplicates=False, n_files=4, last=None) -> DataFrame:
     """The derived wire rows laid down as event-time slices, replayed one slice per
     trigger by the file source."""
     path = new_work_path(spark, "wire")
     wire = wire_rows(fx.transaction_source(spark, sf), SPEC, faults=faults, duplicates=duplicates)
-    k = runner.write_wire_files(wire, path, n_files)
+    k = runner.write_wire_files(wire, path, n_files, last=last)
     return runner.read_wire_stream(spark, path, files_per_trigger=k)
 
 
@@ -378,7 +387,7 @@ def q14_stream_sliding_window(spark, sf):
 
 def q15_stream_trailing_velocity(spark, sf):
     stream = parse_transactions(_wire_stream(spark, sf), watermark=REF_CFG.watermark)
-    vel = trailing_velocity_stream(stream, CFG).drop("_v_us", "_v_copy", "_v_bucket")
+    vel = trailing_velocity_stream(stream, CFG)
     out = new_work_path(spark, "q15")
     runner.run_to_parquet(vel, out + "/data", out + "/_checkpoint")
     return _velocity_out(spark.read.parquet(out + "/data"))
@@ -387,14 +396,16 @@ def q15_stream_trailing_velocity(spark, sf):
 def _run_job(spark, sf) -> JobPaths:
     raw = _wire_stream(spark, sf, faults=True, duplicates=True)
     paths = JobPaths(new_work_path(spark, "job"))
-    q = start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, CFG,
-                          score_from=SPEC.score_from, available_now=True)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    _finish(start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, CFG, available_now=True))
     return paths
 
 
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
 def q31_alert_report(spark, sf):
     paths = _run_job(spark, sf)
     return alert_report(spark.read.parquet(paths.alerts))["by_flag"]
@@ -407,8 +418,7 @@ def q31_alert_listing(spark, sf):
                           flags_text().alias("rule_flags"))
 
 
-def q32_sink_readback(spark, sf):
-    paths = _run_job(spark, sf)
+def _sink_counts(spark, paths: JobPaths) -> DataFrame:
     a = spark.read.parquet(paths.alerts).select(F.lit("alerts").alias("sink"), "amount")
     s = spark.read.parquet(paths.safe).select(F.lit("safe").alias("sink"), "amount")
     r = spark.read.parquet(paths.rejects).select(F.lit("rejects").alias("sink"),
@@ -417,5 +427,38 @@ def q32_sink_readback(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows"), rounded(F.sum("amount")).alias("total_amount")))
 
 
+def q32_sink_readback(spark, sf):
+    return _sink_counts(spark, _run_job(spark, sf))
+
+
+def q16_late_rows_scored(spark, sf):
+    """V5: the job over a feed in which every ``late_mod``-th payment is delivered after all others. Each
+    distinct delivered payment is in exactly one sink."""
+    raw = _wire_stream(spark, sf, faults=True, duplicates=True,
+                       last=F.substring("txn_id", 5, 9).cast("long") % SPEC.late_mod == 0)
+    paths = JobPaths(new_work_path(spark, "late-job"))
+    cfg = CFG.with_(allowed_lateness="31 days")
+    _finish(start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, cfg, available_now=True))
+    return _sink_counts(spark, paths)
+
+
+def q32_model_stream(spark, sf):
+    """The job with a model on the stream against the same plan in batch: alerts on one side only, and alerts
+    whose scores differ."""
+    model = fitted(spark, sf)
+    paths = JobPaths(new_work_path(spark, "model-job"))
+    _finish(start_scoring_job(spark, _wire_stream(spark, sf), lambda: refs(spark, sf), paths, CFG, model=model,
+                              available_now=True, mcfg=MCFG))
+    batch = parse_transactions(wire_rows(fx.transaction_source(spark, sf), SPEC))
+    batch = alerts(score(batch, refs(spark, sf), CFG, model=model, mcfg=MCFG), CFG)
+    a = spark.read.parquet(paths.alerts).select("txn_id", rounded("final_fraud_score").alias("a"))
+    b = batch.select("txn_id", rounded("final_fraud_score").alias("b"))
+    both = a.join(b, "txn_id", "full")
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias
+    return both.agg(count(F.col("b").isNull())("n_stream_only"), count(F.col("a").isNull())("n_batch_only"),
+                    count(F.col("a") != F.col("b"))("n_different"),
+                    (F.count(F.lit(1)) > 0).cast("int").alias("has_alerts"))
+
+
 QUERIES: dict[str, Query] = {name: fn for name, fn in sorted(globals().items())
                              if name[:1] == "q" and name[1:3].isdigit() and callable(fn)}

@@ -263,8 +263,6 @@ FROM src WHERE event_time < {hist} AND device_id IS NOT NULL GROUP BY 1, 2"""
 FROM vel"""
     q["q12_trailing_velocity"] = f"WITH {src_cte(spec)}, {vel_cte(cfg)}\n{vel_out}"
 
-    q["q12_trailing_velocity_dense"] = q["q12_trailing_velocity"]
-
     q["q13_self_velocity"] = f"""WITH {src_cte(spec)}, {base_cte(spec)}
 SELECT t.txn_id, 1 AS txn_count_1m, round(t.amount, 6) AS total_amount_1m, 1 AS txn_count_10m,
        round(t.amount, 6) AS total_amount_10m, round(b.avg_amount, 6) AS avg_amount_10m,
@@ -291,7 +289,7 @@ SELECT txn_id, sender_id, amount, event_time,
        CASE WHEN event_id % {spec.duplicate_mod} = 0 THEN 2 ELSE 1 END::BIGINT AS n_copies
 FROM src"""
 
-    S = scoring_with(spec, cfg)
+    S = scoring_with(spec, cfg, score_from=None)
     q["q18_rule_components"] = f"""{S}
 SELECT txn_id, {_r('r1_velocity', 'r2_blacklist', 'r3_amount_anomaly', 'r4_new_device', 'r5_odd_hour', 'r6_bl_velocity')}
 FROM scored"""
@@ -322,7 +320,19 @@ GROUP BY l.split, l.isFraud"""
     q["q23_imputed_columns"] = f"""{all_rows},
 train AS (SELECT * FROM scored WHERE event_time < {cut}),
 m AS ({imp_rows})
-SELECT feature, n_missing::BIGINT AS n_missing, surrogate FROM m WHERE n_missing > 0"""
+SELECT feature, n_missing::BIGINT AS n_missing, surrogate FROM m"""
+
+    q["q23_impute"] = f"""{all_rows},
+train AS (SELECT * FROM scored WHERE event_time < {cut}),
+m AS ({imp_rows})
+SELECT feature, round(surrogate, 6) AS surrogate FROM m"""
+
+    test_rows = f"WITH {src_cte(spec)} SELECT txn_id, {{}} FROM src WHERE event_time >= {cut}"
+    q["q27_fit_score"] = test_rows.format("1::INTEGER AS in_range, 1::INTEGER AS only_score_added")
+    q["q28_save_load"] = test_rows.format("1::INTEGER AS same")
+    q["q29_pr_auc_model"] = f"""{all_rows}
+SELECT 1::INTEGER AS equals_evaluator, sum({label_sql()})::BIGINT AS n_pos, sum(1 - {label_sql()})::BIGINT AS n_neg
+FROM scored WHERE event_time >= {cut}"""
 
     q["q24_index"] = f"""{all_rows},
 train AS (SELECT * FROM scored WHERE event_time < {cut}),
@@ -387,7 +397,16 @@ SELECT txn_id, sender_id, receiver_id, amount, txn_type, channel, bl_receiver_se
        round(fraud_rule_score, 6) AS final_fraud_score, rule_flags_text AS rule_flags
 FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)}"""
 
-    Sx = scoring_with(spec, cfg, ms=True, exclude_faults=True)
+    final = f"fraud_rule_score * {_d(cfg.rule_weight)} + ((event_id * 37) % 101)::DOUBLE / 100.0::DOUBLE * {_d(cfg.ml_weight)}"
+    q["q30_alerts_blended"] = f"""{S}
+SELECT txn_id, sender_id, receiver_id, amount, txn_type, channel, bl_receiver_severity::INTEGER AS bl_receiver_severity,
+       round(amount_zscore, 6) AS amount_zscore, is_new_device::INTEGER AS is_new_device,
+       round(fraud_rule_score, 6) AS fraud_rule_score,
+       round(((event_id * 37) % 101)::DOUBLE / 100.0::DOUBLE, 6) AS ml_fraud_score,
+       round({final}, 6) AS final_fraud_score, rule_flags_text AS rule_flags
+FROM scored WHERE {final} >= {_d(cfg.alert_threshold)}"""
+
+    Sx = scoring_with(spec, cfg, score_from=None, ms=True, exclude_faults=True)
     q["q31_alert_report"] = f"""{Sx},
 al AS (SELECT * FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)}),
 fl AS (SELECT channel, unnest(string_split(rule_flags_text, '|')) AS flag FROM al)
@@ -398,12 +417,33 @@ SELECT txn_id, sender_id, receiver_id, amount, round(fraud_rule_score, 6) AS fin
        rule_flags_text AS rule_flags
 FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)}"""
 
+    # redelivered rejects without a transaction id cannot be told apart and stay
+    rejects = f"""SELECT 'rejects', (count(*) + sum(CASE WHEN event_id % {spec.duplicate_mod} = 0
+         AND (event_id // {spec.fault_mod}) % 4 IN (0, 3) THEN 1 ELSE 0 END))::BIGINT, NULL::DOUBLE
+FROM events WHERE event_id % {spec.fault_mod} = 0"""
     q["q32_sink_readback"] = f"""{Sx}
 SELECT CASE WHEN fraud_rule_score >= {_d(cfg.alert_threshold)} THEN 'alerts' ELSE 'safe' END AS sink,
        count(*)::BIGINT AS n_rows, round(sum(amount), 6) AS total_amount
 FROM scored GROUP BY 1
 UNION ALL
-SELECT 'rejects', count(*)::BIGINT, NULL::DOUBLE FROM events WHERE event_id % {spec.fault_mod} = 0"""
+{rejects}"""
+
+    # on-time rows never see the held-back ones; these see all
+    parts = [src_cte(spec, True), f"srcv AS (SELECT * FROM src WHERE event_id % {spec.fault_mod} <> 0)",
+             f"src_on AS (SELECT * FROM srcv WHERE event_id % {spec.late_mod} <> 0)",
+             bl_users_cte(spec), base_cte(spec), dev_cte(spec),
+             vel_cte(cfg, "srcv").replace("vel AS", "vel_all AS", 1), vel_cte(cfg, "src_on").replace("vel AS", "vel_on AS", 1),
+             f"vel AS (SELECT * FROM vel_all WHERE event_id % {spec.late_mod} = 0 UNION ALL SELECT * FROM vel_on)",
+             feat_cte(spec, None), rules_cte(cfg)]
+    q["q16_late_rows_scored"] = "WITH " + ",\n".join(parts) + f"""
+SELECT CASE WHEN fraud_rule_score >= {_d(cfg.alert_threshold)} THEN 'alerts' ELSE 'safe' END AS sink,
+       count(*)::BIGINT AS n_rows, round(sum(amount), 6) AS total_amount
+FROM scored GROUP BY 1
+UNION ALL
+{rejects}"""
+
+    q["q32_model_stream"] = """SELECT 0::BIGINT AS n_stream_only, 0::BIGINT AS n_batch_only, 0::BIGINT AS n_different,
+       (count(*) > 0)::INTEGER AS has_alerts FROM events"""
 
     q["q33_geo_velocity"] = f"""{W},
 p AS (SELECT txn_id, lat, lon, epoch_us(event_time) AS us,

@@ -13,14 +13,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.config import ScoringConfig
+from txnguard.config import ModelConfig, ScoringConfig
 from txnguard.functions.expressions import ntz_literal
 from txnguard.operators.enrich import (
     add_calendar, baseline_dimension, blacklist_dimension, device_dimension, enrich_with_baseline,
     enrich_with_blacklist, enrich_with_device,
 )
 from txnguard.operators.rules import apply_rules, blend
-from txnguard.operators.velocity import self_velocity, trailing_velocity_auto
+from txnguard.operators.velocity import self_velocity, trailing_velocity
 from txnguard.schemas import OUTPUT_COLUMNS
 
 
@@ -70,7 +70,7 @@ def features(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: Scorin
     elif cfg.velocity_mode == "trailing":
         if score_from is not None:
             txn = txn.filter(ts >= ntz_literal(history_start(score_from, cfg)))
-        df = trailing_velocity_auto(txn, cfg)
+        df = trailing_velocity(txn, cfg)
         if score_from is not None:
             df = df.filter(ts >= ntz_literal(score_from))
     else:
@@ -86,13 +86,14 @@ def features(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: Scorin
 
 
 def score(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: ScoringConfig = ScoringConfig(),
-          model=None, score_from: datetime | None = None, materialize: bool = True) -> DataFrame:
+          model=None, score_from: datetime | None = None, materialize: bool = True,
+          mcfg: ModelConfig = ModelConfig()) -> DataFrame:
     """All scored rows with rule components, fraud_rule_score, rule_flags,
     ml_fraud_score (null without model) and final_fraud_score."""
     df = features(txn, refs, cfg, score_from, materialize)
     if model is not None:
         from txnguard.operators.ml import score_with_model
-        df = score_with_model(df, model)
+        df = score_with_model(df, model, mcfg)
     df = apply_rules(df, cfg)
     return blend(df, cfg, has_model=model is not None)
 

@@ -136,9 +136,11 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def first_delivery(parsed: DataFrame, key: str = "txn_id", order: str = "kafka_ts") -> DataFrame:
     """Batch de-duplication of redelivered transactions: keep the earliest delivery
     per ``key`` plus the number of copies. An aggregate (partial per partition, then
-    final), so a key delivered very many times is combined map-side."""
+    final), so a key delivered very many times is combined map-side.
+    A null key identifies nothing: such rows all stay, with n_copies 1."""
     others = [c for c in parsed.columns if c != key]
-    agg = (parsed.groupBy(key)
+    agg = (parsed.filter(F.col(key).isNotNull()).groupBy(key)
            .agg(F.min_by(F.struct(*others), F.col(order)).alias("_first"),
                 F.count(F.lit(1)).alias("n_copies")))
-    return agg.select(key, "_first.*", "n_copies")
+    unkeyed = parsed.filter(F.col(key).isNull()).select(key, *others, F.lit(1).cast("long").alias("n_copies"))
+    return agg.select(key, "_first.*", "n_copies").unionByName(unkeyed)

@@ -1,8 +1,9 @@
 """The streaming scoring job: one query, several sinks.
 
-raw (Kafka / files) -> parse -> reject tag -> watermark -> de-duplicate redelivered
-txn_id within the watermark -> stateful trailing velocity -> foreachBatch:
+raw (Kafka / files) -> parse -> reject tag -> watermark -> stateful trailing velocity
+(which also leaves out redelivered txn_ids and keeps late rows) -> foreachBatch:
     rejects -> rejects/batch_id=N
+    rows and late rows of the batch -> stats/batch_id=N
     valid   -> blacklist, baseline, device, calendar, [model], rules, blend
             -> alerts/batch_id=N (final >= threshold), safe/batch_id=N (rest),
                optional JDBC append of the safe rows, optional console print.
@@ -23,7 +24,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.config import ScoringConfig
+from txnguard.config import ModelConfig, ScoringConfig
 from txnguard.functions.expressions import instant_literal
 from txnguard.plans.scoring import JoinDimensions, ReferenceTables, alerts, join_dimensions, safe_rows, score
 from txnguard.sources.sinks import write_batch_parquet, write_jdbc
@@ -47,6 +48,11 @@ class JobPaths:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def stats(self) -> str:
+        """Per batch: rows that came out of the state, and how many of them were late."""
+        return f"{self.root}/stats"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -72,34 +78,37 @@ class ReferenceCache:
 
 
 def prepared_stream(raw: DataFrame, cfg: ScoringConfig = ScoringConfig(), dedup: bool = True) -> DataFrame:
-    """Streaming part of the job (everything that needs state)."""
+    """Streaming part of the job (everything that needs state). Each delivered row comes out once, late or not;
+    only redeliveries of a known transaction id are left out."""
+    reason = reject_reason()
     tagged = (parse_transactions(raw, keep_raw=True)
-              .withColumn("reject_reason", reject_reason())
+              .withColumn("reject_reason", reason)
+              .withColumn("raw_value", F.when(F.col("reject_reason").isNotNull(), F.col("raw_value")))
               .withColumn("_et", F.coalesce(F.col("event_time"), F.col("kafka_ts")))
+              .withColumn("_vk", F.when(F.col("reject_reason").isNull(), F.col("sender_id")))
               .withWatermark("_et", cfg.watermark))
-    if dedup:
-        key = F.coalesce(F.col("txn_id"), F.sha2(F.col("raw_value"), 256),
-                         F.concat(F.lit("null@"), F.col("kafka_ts").cast("string")))
-        tagged = tagged.withColumn("_dk", key).dropDuplicatesWithinWatermark(["_dk"]).drop("_dk")
-    tagged = tagged.withColumn("_vk", F.when(F.col("reject_reason").isNull(), F.col("sender_id")))
-    return trailing_velocity_stream(tagged, cfg, key="_vk", ts="_et")
+    return trailing_velocity_stream(tagged, cfg, key="_vk", ts="_et", dedup_key="txn_id" if dedup else None)
 
 
 def make_batch_writer(paths: JobPaths, refs: ReferenceCache, cfg: ScoringConfig, model=None,
                       score_from: datetime | None = None, jdbc: dict | None = None,
-                      console: bool = False) -> Callable[[DataFrame, int], None]:
+                      console: bool = False, mcfg: ModelConfig = ModelConfig()) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        scored = None
         try:
-            if batch.isEmpty():  # no-data batch (watermark advance, state eviction): nothing to write
+            if batch.isEmpty():  # no-data batch: nothing to write
                 return
             write_batch_parquet(batch.filter(F.col("reject_reason").isNotNull())
                                 .select("raw_value", "kafka_ts", "reject_reason"), paths.rejects, batch_id)
+            late = F.coalesce(F.col("late"), F.lit(False)) if "late" in batch.columns else F.lit(False)
+            write_batch_parquet(batch.agg(F.count(F.lit(1)).alias("n_rows"),
+                                          F.sum(late.cast("long")).alias("n_late")), paths.stats, batch_id)
             valid = (batch.filter(F.col("reject_reason").isNull())
-                     .drop("reject_reason", "raw_value", "_et", "_vk", "_v_us", "_v_copy", "_v_bucket"))
+                     .drop("reject_reason", "raw_value", "late", "_et", "_vk", "_v_us", "_v_copy", "_v_bucket"))
             if score_from is not None:
                 valid = valid.filter(F.col("event_time") >= instant_literal(score_from))
-            scored = score(valid, refs.get(), cfg.with_(velocity_mode="given"), model=model).persist()
+            scored = score(valid, refs.get(), cfg.with_(velocity_mode="given"), model=model, mcfg=mcfg).persist()
             write_batch_parquet(alerts(scored, cfg), paths.alerts, batch_id)
             safe = safe_rows(scored, cfg)
             write_batch_parquet(safe, paths.safe, batch_id)
@@ -107,8 +116,9 @@ def make_batch_writer(paths: JobPaths, refs: ReferenceCache, cfg: ScoringConfig,
                 write_jdbc(safe, jdbc["url"], jdbc["table"], jdbc.get("properties"))
             if console:
                 scored.select(*alerts(scored, cfg).columns).show(20, truncate=False)
-            scored.unpersist()
         finally:
+            if scored is not None:
+                scored.unpersist()
             batch.unpersist()
     return write
 
@@ -116,9 +126,10 @@ def make_batch_writer(paths: JobPaths, refs: ReferenceCache, cfg: ScoringConfig,
 def start_scoring_job(spark: SparkSession, raw: DataFrame, reference_loader: Callable[[], ReferenceTables],
                       paths: JobPaths, cfg: ScoringConfig = ScoringConfig(), model=None,
                       score_from: datetime | None = None, jdbc: dict | None = None, console: bool = False,
-                      available_now: bool = False, refresh_seconds: float = 300.0, name: str = "txn_scoring"):
+                      available_now: bool = False, refresh_seconds: float = 300.0, name: str = "txn_scoring",
+                      mcfg: ModelConfig = ModelConfig()):
     refs = ReferenceCache(reference_loader, cfg, refresh_seconds)
-    writer = make_batch_writer(paths, refs, cfg, model, score_from, jdbc, console)
+    writer = make_batch_writer(paths, refs, cfg, model, score_from, jdbc, console, mcfg)
     w = (prepared_stream(raw, cfg).writeStream.queryName(name)
          .option("checkpointLocation", paths.checkpoint)
          .foreachBatch(writer))

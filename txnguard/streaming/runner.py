@@ -3,13 +3,14 @@ and to lay down a file-source fixture that replays wire rows in event order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from txnguard.sources.wire import WIRE_SCHEMA
 
 
 def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None,
-                     files_per_slice: int | None = None, rows_per_file: int = 1_000_000) -> int:
+                     files_per_slice: int | None = None, rows_per_file: int = 1_000_000,
+                     last: Column | None = None) -> int:
     """Lay down wire rows as ``n_files`` event-time slices, for a file-source replay
     with one slice per trigger. Returns the files per slice: read the folder back
     with ``read_wire_stream(..., files_per_trigger=<that>)``.
@@ -25,6 +26,9 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
     no slice goes through a single task at scale). A slice that came out with fewer
     files (empty round-robin partitions) is padded with empty files, so every
     trigger of ``files_per_slice`` files holds exactly one slice.
+
+    ``last``: a condition on the payload's fields; rows that meet it are held back and delivered as one more
+    slice after all others, so they are late.
     """
     from pyspark.sql import functions as F
 
@@ -32,19 +36,26 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
     from txnguard.schemas import TRANSACTION_SCHEMA
 
     spark = wire.sparkSession
-    parsed_time = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA, PARSE_OPTIONS)["event_time"]
+    parsed = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA, PARSE_OPTIONS)
+    late = F.lit(False)
+    if last is not None:
+        wire = wire.select("*", parsed.alias("_p")).select("*", "_p.*")
+        late = F.coalesce(last, F.lit(False))
+    parsed_time = parsed["event_time"]
     staging = f"{path.rstrip('/')}_staging"
     # one parallel pass; sorted inside each task, so row-group min/max let a slice skip most row groups
-    (wire.withColumn("_order", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))))
+    (wire.select("value", "timestamp", F.unix_micros(F.coalesce(parsed_time, F.col("timestamp"))).alias("_order"),
+                 late.alias("_late"))
          .sortWithinPartitions("_order")
          .write.mode("overwrite").parquet(staging))
     keyed = spark.read.parquet(staging)
     k = files_per_slice or max(1, -(-keyed.count() // (n_files * rows_per_file)))
     lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
     step = max(1, -(-(hi - lo + 1) // n_files))
-    for i in (only if only is not None else range(n_files)):
+    for i in (only if only is not None else range(n_files + (last is not None))):
         lo_i, hi_i = lo + i * step, lo + (i + 1) * step
-        part = keyed.filter((F.col("_order") >= lo_i) & (F.col("_order") < hi_i)).drop("_order")
+        wanted = F.col("_late") if i == n_files else ~F.col("_late") & (F.col("_order") >= lo_i) & (F.col("_order") < hi_i)
+        part = keyed.filter(wanted).select("value", "timestamp")
         before = _n_files(spark, path)
         (part.coalesce(1) if k == 1 else part.repartition(k)).write.mode("append").parquet(path)
         for _ in range(k - (_n_files(spark, path) - before)):
@@ -53,11 +64,11 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
 
 
 def _n_files(spark: SparkSession, path: str) -> int:
-    """Data files under ``path`` (a listing on the driver, no data read)."""
-    try:
-        return len(spark.read.schema(WIRE_SCHEMA).parquet(path).inputFiles())
-    except Exception:  # noqa: BLE001 - folder not created yet
-        return 0
+    """Data files under ``path``, counted by the file system's own listing (no data is read)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(folder)) if fs.exists(folder) else 0
 
 
 def read_wire_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -78,14 +89,3 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "appen
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-
-
-def dropped_by_watermark(query) -> int:
-    """Rows the query's stateful operators dropped as late (older than the
-    watermark), summed over the retained progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            total += int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
-                          else op.numRowsDroppedByWatermark) or 0)
-    return total
