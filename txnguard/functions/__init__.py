@@ -1,6 +1,6 @@
 from txnguard.functions.expressions import (
-    calendar_columns, epoch_micros, haversine_km, rounded, safe_div, zscore, zscore_unit,
+    calendar_columns, epoch_micros, haversine_km, rounded, zscore, zscore_unit,
 )
 
-__all__ = ["calendar_columns", "epoch_micros", "haversine_km", "rounded", "safe_div",
+__all__ = ["calendar_columns", "epoch_micros", "haversine_km", "rounded",
            "zscore", "zscore_unit"]

@@ -30,12 +30,6 @@ def epoch_micros(ts, ntz: bool = True) -> Column:
             + (seconds * F.lit(1_000_000)).cast("long"))
 
 
-def safe_div(num, den) -> Column:
-    """num / den, null when den is 0 or null (ANSI mode raises on x/0)."""
-    num, den = _c(num), _c(den)
-    return F.when(den != 0, num / den)
-
-
 def zscore(amount="amount", avg="avg_amount", std="stddev_amount", mode: str = "zero") -> Column:
     """Amount z-score against a user baseline.
 

@@ -120,19 +120,24 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins: int = 1024) -> DataFrame:
+#: Distinct scores of one range of the precision-recall curve.
+POINTS_PER_RANGE = 100_000
+
+
+def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins: int | None = None) -> DataFrame:
     """Area under the precision-recall curve as a one-row DataFrame (pr_auc, n_pos,
     n_neg), same curve as MLlib's binary metrics without down-sampling: one point
     per distinct score (descending), first point (0, precision of the first score),
     trapezoids between points.
 
     Global cumulative counts without a single-partition sort: the distinct scores
-    are range-partitioned (descending) into at most ``bins`` ranges whose bounds
+    are range-partitioned (descending) into ``bins`` ranges (default: one per
+    ``POINTS_PER_RANGE`` distinct scores, so their number follows the data) whose bounds
     come from a sample of the distinct scores, so every range holds about the same
     number of points however densely the scores cluster. The ranged points are
     written once to the shared folder (range bounds are sampled per evaluation;
     both consumers must see the same ranges). Exclusive prefix sums over the range
-    totals (at most ``bins`` rows) give each range's offset, and a window per
+    totals (one row a range) give each range's offset, and a window per
     range gives the running counts inside it.
     """
     from txnguard.operators.dims import materialize
@@ -140,9 +145,12 @@ def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins
     pts = (df.groupBy(F.col(score).alias("_s"))
            .agg(F.sum(F.when(y, 1).otherwise(0)).cast("long").alias("_tp"),
                 F.sum(F.when(y, 0).otherwise(1)).cast("long").alias("_fp")))
+    if bins is None:
+        pts = materialize(pts, "pr_scores")
+        bins = max(1, -(-pts.count() // POINTS_PER_RANGE))
     pts = materialize(pts.repartitionByRange(bins, F.desc("_s"))
                       .withColumn("_bin", F.spark_partition_id()), "pr_points")  # _bin 0 = highest scores
-    whole = Window.partitionBy(F.lit(1))  # over the range totals: at most ``bins`` rows
+    whole = Window.partitionBy(F.lit(1))  # over the range totals: one row a range
     before = Window.partitionBy(F.lit(1)).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (pts.groupBy("_bin").agg(F.sum("_tp").alias("_btp"), F.sum("_fp").alias("_bfp"))
                .select("_bin",

@@ -60,11 +60,6 @@ def apply_rules(df: DataFrame, cfg: ScoringConfig = ScoringConfig(),
     })
 
 
-def flags_compact(col: str = "rule_flags") -> Column:
-    """Null-free variant of the flag array."""
-    return F.array_compact(F.col(col))
-
-
 def flags_text(col: str = "rule_flags", sep: str = "|", null_text: str = "-") -> Column:
     """Flag array rendered as text, nulls kept as ``null_text`` (positions visible)."""
     return F.array_join(F.col(col), sep, null_text)

@@ -32,8 +32,10 @@ from txnguard.plans.scoring import ReferenceTables, alerts, features, score
 from txnguard.session import new_work_path
 from txnguard.sources import fixtures as fx
 from txnguard.sources.reference import build_baseline, build_known_devices, read_snapshot, write_snapshot
-from txnguard.sources.sinks import alert_report
-from txnguard.sources.wire import first_delivery, parse_transactions, reject_reason, wire_rows
+from txnguard.sources.sinks import alert_report, read_alerts
+from txnguard.sources.wire import (
+    first_delivery, parse_transactions, read_transactions, reject_reason, wire_rows,
+)
 from txnguard.streaming import runner
 from txnguard.streaming.job import JobPaths, start_scoring_job
 from txnguard.streaming.velocity_state import trailing_velocity_stream
@@ -64,8 +66,10 @@ def scored(spark: SparkSession, sf: str, model=None) -> DataFrame:
 # ---- parsing, rejects, dedup ----------------------------------------------------
 
 def q01_parse(spark, sf):
-    raw = wire_rows(fx.transaction_source(spark, sf), SPEC)
-    p = parse_transactions(raw)
+    """Wire rows laid down as files, read back by the source reader, repartitioned by sender as the original does."""
+    path = new_work_path(spark, "wire-batch")
+    wire_rows(fx.transaction_source(spark, sf), SPEC).write.parquet(path)
+    p = parse_transactions(read_transactions(spark, "parquet", path, streaming=False), repartition=4)
     return p.withColumns({c: instant_to_utc_ntz(c) for c in ("event_time", "ingest_time", "kafka_ts")})
 
 
@@ -408,12 +412,12 @@ def _finish(query) -> None:
 
 def q31_alert_report(spark, sf):
     paths = _run_job(spark, sf)
-    return alert_report(spark.read.parquet(paths.alerts))["by_flag"]
+    return alert_report(read_alerts(spark, paths.alerts))["by_flag"]
 
 
 def q31_alert_listing(spark, sf):
     """The original readback: 6-column listing of the stored alerts."""
-    listing = alert_report(spark.read.parquet(_run_job(spark, sf).alerts))["listing"]
+    listing = alert_report(read_alerts(spark, _run_job(spark, sf).alerts))["listing"]
     return listing.select("txn_id", "sender_id", "receiver_id", "amount", *_r("final_fraud_score"),
                           flags_text().alias("rule_flags"))
 

@@ -6,6 +6,7 @@ from pyspark.sql.types import (
     DoubleType, IntegerType, StringType, StructField, StructType, TimestampType,
 )
 
+# Names, types and order of the payload's fields; the required ones are not nullable.
 TRANSACTION_SCHEMA = StructType([
     StructField("txn_id", StringType(), False),
     StructField("sender_id", StringType(), False),
@@ -28,17 +29,12 @@ TRANSACTION_SCHEMA = StructType([
 TRANSACTION_FIELDS = [f.name for f in TRANSACTION_SCHEMA.fields]
 REQUIRED_FIELDS = [f.name for f in TRANSACTION_SCHEMA.fields if not f.nullable]
 
-BLACKLIST_SHORT_SCHEMA = StructType([
-    StructField("entity_id", StringType(), False),
-    StructField("entity_type", StringType(), True),
-    StructField("severity", IntegerType(), True),
-])
-
+# The reference tables' fields. Any kind of entity may be listed; severities have no set scale.
 BLACKLIST_SCHEMA = StructType([
     StructField("entity_id", StringType(), False),
-    StructField("entity_type", StringType(), True),   # USER | DEVICE | MERCHANT | IP
+    StructField("entity_type", StringType(), True),
     StructField("reason", StringType(), True),
-    StructField("severity", IntegerType(), True),     # 1-5
+    StructField("severity", IntegerType(), True),
     StructField("listed_at", TimestampType(), True),
     StructField("expires_at", TimestampType(), True),
 ])
@@ -54,7 +50,7 @@ DEVICE_SCHEMA = StructType([
     StructField("device_id", StringType(), False),
 ])
 
-# Alert / console projection of the original job (13 columns, in order).
+# The columns of an alert, in order.
 OUTPUT_COLUMNS = [
     "txn_id", "sender_id", "receiver_id", "amount",
     "txn_type", "channel",
@@ -62,8 +58,3 @@ OUTPUT_COLUMNS = [
     "fraud_rule_score", "ml_fraud_score", "final_fraud_score",
     "rule_flags",
 ]
-
-VELOCITY_COLUMNS = [
-    "txn_count_1m", "total_amount_1m", "txn_count_10m",
-    "total_amount_10m", "avg_amount_10m", "stddev_amount_10m",
-]

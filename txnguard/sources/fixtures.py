@@ -7,8 +7,6 @@ same rules are written as DuckDB SQL in ``txnguard.plans.oracle``.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,8 +130,3 @@ def baseline(spark: SparkSession, sf_dir: str, spec: FixtureSpec = FixtureSpec()
 def known_devices(spark: SparkSession, sf_dir: str, spec: FixtureSpec = FixtureSpec()) -> DataFrame:
     src = transaction_source(spark, sf_dir)
     return build_known_devices(history(src, spec)).select("user_id", "device_id")
-
-
-def score_window_start(spec: FixtureSpec, long_window_micros: int):
-    """Earliest event_time that can influence a scored row's trailing window."""
-    return spec.score_from - timedelta(microseconds=long_window_micros)

@@ -124,15 +124,6 @@ def reject_reason() -> Column:
     return F.when(all_null, F.lit("malformed")).when(some_required_null, F.lit("missing_required"))
 
 
-def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows + reject_reason). Both are filters of the same
-    projection, so no extra shuffle; persist the input if both are consumed."""
-    tagged = parsed.withColumn("reject_reason", reject_reason())
-    valid = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    rejects = tagged.filter(F.col("reject_reason").isNotNull())
-    return valid, rejects
-
-
 def first_delivery(parsed: DataFrame, key: str = "txn_id", order: str = "kafka_ts") -> DataFrame:
     """Batch de-duplication of redelivered transactions: keep the earliest delivery
     per ``key`` plus the number of copies. An aggregate (partial per partition, then

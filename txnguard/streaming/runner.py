@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from txnguard.sources.wire import WIRE_SCHEMA
+from txnguard.sources.wire import read_transactions
 
 
 def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None,
@@ -72,9 +72,7 @@ def _n_files(spark: SparkSession, path: str) -> int:
 
 
 def read_wire_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(WIRE_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+    return read_transactions(spark, "parquet", path, {"maxFilesPerTrigger": files_per_trigger})
 
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
