@@ -135,3 +135,19 @@ def test_encoding_equals_the_library(bpe):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
         assert bpe.encode(text) == lib.encode_ordinary(text)
         assert bpe.decode(bpe.encode(text)) == text.encode()
+
+
+def test_latin_words_meet_the_library_directly():
+    """Every precomposed Latin letter, both cases, takes the direct path to the ids that the library gives."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from txnguard.llm import token_files
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    lib.encode_special_tokens = True
+    cache = token_files._cache(P.path("word_bpe_49k.json"))
+    for code in range(0x21, 0x250):
+        for word in (chr(code), f"a{chr(code)}b1{chr(code)}"):
+            if not word.isspace():
+                ids = np.frombuffer(cache.get([word])[0], "<u4").tolist()
+                assert ids == lib.encode(word, add_special_tokens=False).ids, word

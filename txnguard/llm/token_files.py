@@ -12,11 +12,13 @@ doc_id are ordered by their text; extra columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +28,26 @@ from txnguard.session import new_work_path
 ROW_GROUP_BYTES = 8 * 1024 * 1024
 PAGE_BYTES = 64 * 1024
 END_ID = 2
+#: Pieces of words that one worker remembers.
+PIECES = 500_000
 
 _CACHES: dict[str, WordCache] = {}
-_ASCII_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\s0-9a-z]+")
-_PLAIN = regex.compile(r"[!-~\t\n\r]*")
+#: Words of printable ASCII and precomposed Latin letters (but the dotted capital I, whose lower case is two
+#: characters): what the normaliser does to them is lower-casing alone.
+_PLAIN = re.compile("[!-~\\t\\n\\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s0-9{_LETTERS}]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """Byte -> the character that stands for it in a byte-level vocabulary: printable ones themselves, the others
+    from 256 up, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
 
 
 def _cache(tokenizer_file: str) -> WordCache:
@@ -46,16 +64,21 @@ def _cache(tokenizer_file: str) -> WordCache:
         def of_piece(piece: str) -> bytes:
             ids = pieces.get(piece)
             if ids is None:
-                if len(pieces) > 600_000:
-                    pieces.clear()
-                ids = pieces[piece] = np.array([t.id for t in model.tokenize(piece)], "<u4").tobytes()
+                if not piece.isascii():
+                    mapped = piece.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+                else:
+                    mapped = piece
+                ids = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+                if len(pieces) < PIECES:
+                    pieces[piece] = ids
             return ids
 
         def of_word(word: str) -> bytes:
             if _PLAIN.fullmatch(word):
-                return b"".join(map(of_piece, _ASCII_PIECES.findall(word.lower())))
+                found = _PIECES.findall(word.lower())
+                return of_piece(found[0]) if len(found) == 1 else b"".join(map(of_piece, found))
             split = lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(word))
-            return b"".join(of_piece(p) for p, _ in split)
+            return np.array([t.id for p, _ in split for t in model.tokenize(p)], "<u4").tobytes()
 
         if type(model).__name__ != "BPE" or not _direct(lib, of_word):
             def of_word(word: str) -> bytes:  # another kind of tokenizer file: the whole library path
@@ -65,11 +88,12 @@ def _cache(tokenizer_file: str) -> WordCache:
 
 
 def _direct(lib, of_word) -> bool:
-    """Whether the direct path gives the library's ids on probes of every kind of character."""
-    probes = ["Hello", "it's", "I'LL", "a1b22c", "x,y;z!!", "café", "Ångström", "漢字", "\U0001f600ok",
+    """Whether the direct path gives the library's ids on probes of every kind of character. ``encode_texts``
+    lower-cases ASCII first, so the probes are tried both ways."""
+    probes = ["Hello", "ÀÖØÞßàöøÿĀĸŉſƁƻǀǄȀɏ", "x\u00d7\u00f7y", "\u0130", "it's", "I'LL", "a1b22c", "x,y;z!!", "café", "Ångström", "漢字", "\U0001f600ok",
               "a\tb\nc", "_-_", "'", "''s", "\x01\x7f", "İΣσ", "ﬁΩ", "<|endoftext|>x"]
     return all(np.frombuffer(of_word(p), "<u4").tolist() == lib.encode(p, add_special_tokens=False).ids
-               for p in probes)
+               for p in [*probes, *map(str.lower, probes)])
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID,
@@ -87,7 +111,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     def run(batches):
         cache, at = _cache(tokenizer_file), 0
         for b in batches:
-            ids, offsets = encode_texts(whole_texts(b), cache)
+            ids, offsets = encode_texts(pc.ascii_lower(whole_texts(b)), cache)  # as the normaliser does later
             ids = np.insert(ids.astype(np.int32), offsets[1:], end_id)
             offsets = offsets + np.arange(len(offsets))
             lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids))

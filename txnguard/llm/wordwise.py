@@ -23,21 +23,21 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pick:
 
 
 class WordCache:
-    """word -> ids as little-endian uint32 bytes; emptied when it is full, so memory stays bounded."""
+    """word -> ids as little-endian uint32 bytes. When it is full it takes no more: the frequent words came early,
+    others are encoded anew, and memory stays bounded."""
 
     def __init__(self, encode: Callable[[str], bytes], limit: int = CACHE_WORDS):
         self.encode, self.limit, self.known = encode, limit, {}
 
     def get(self, words: list[str]) -> list[bytes]:
-        known, encode = self.known, self.encode
-        if len(known) > self.limit:
-            known.clear()
-        out = []
-        for w in words:
-            ids = known.get(w)
+        known, encode, room = self.known, self.encode, self.limit - len(self.known)
+        out = list(map(known.get, words))
+        for i, ids in enumerate(out):
             if ids is None:
-                ids = known[w] = encode(w)
-            out.append(ids)
+                out[i] = ids = encode(words[i])
+                if room > 0:
+                    known[words[i]] = ids
+                    room -= 1
         return out
 
 
