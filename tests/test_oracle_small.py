@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.check_oracle import digest
 
-FAST = sorted(E.oracle_sql())
+FAST = sorted(q for q in E.oracle_sql() if q.startswith("q"))
 
 
 def test_every_query_registered():

@@ -447,14 +447,17 @@ def q16_late_rows_scored(spark, sf):
 
 
 def q32_model_stream(spark, sf):
-    """The job with a model on the stream against the same plan in batch: alerts on one side only, and alerts
-    whose scores differ."""
-    model = fitted(spark, sf)
+    """The job with a model (ten trees) on the stream against the same plan in batch: alerts on one side only, and
+    alerts whose scores differ."""
+    model = _kept(spark, f"stream-model:{sf}", lambda: ml.fit_model(split(spark, sf)[0], replace(MCFG, max_iter=10)))
     paths = JobPaths(new_work_path(spark, "model-job"))
     _finish(start_scoring_job(spark, _wire_stream(spark, sf), lambda: refs(spark, sf), paths, CFG, model=model,
                               available_now=True, mcfg=MCFG))
-    batch = parse_transactions(wire_rows(fx.transaction_source(spark, sf), SPEC))
-    batch = alerts(score(batch, refs(spark, sf), CFG, model=model, mcfg=MCFG), CFG)
+    path = new_work_path(spark, "wire-batch")
+    wire_rows(fx.transaction_source(spark, sf), SPEC).write.parquet(path)
+    batch = parse_transactions(read_transactions(spark, "parquet", path, streaming=False))
+    batch = materialize(features(batch, refs(spark, sf), CFG), "batch-features")  # the model's plan repeats its inputs
+    batch = alerts(blend(apply_rules(ml.score_with_model(batch, model, MCFG), CFG), CFG), CFG)
     a = spark.read.parquet(paths.alerts).select("txn_id", rounded("final_fraud_score").alias("a"))
     b = batch.select("txn_id", rounded("final_fraud_score").alias("b"))
     both = a.join(b, "txn_id", "full")
