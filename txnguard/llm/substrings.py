@@ -153,7 +153,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whole = classes.filter("not open").select("doc_id", "tag", "first", "n")
     cold = _subtrees(pieces.filter("body is not null"), window)
     hot = R.resolve_hot(pieces.filter("body is null").select("h1", "h2", "doc_id", "tag", "first"), within=False)
-    return whole.unionByName(cold).unionByName(hot)
+    return staged(whole.unionByName(cold).unionByName(hot), "word-repeats")
 
 
 def kept_texts(docs: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
