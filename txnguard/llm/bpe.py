@@ -26,6 +26,11 @@ from pyspark.sql import DataFrame
 from txnguard.llm.wordwise import WordCache, encode_texts, whole_texts
 
 
+#: Pairs of tokens whose compatibility one worker remembers (about 200 bytes each), and words that start a text.
+PAIRS = 500_000
+FIRST_WORDS = 50_000
+
+
 class PrefixBPE:
     """Encoder over a rank file (base64 token, rank per line)."""
 
@@ -53,7 +58,7 @@ class PrefixBPE:
         """Whether the bytes of two tokens, joined, are encoded as just these two."""
         ok = self.fits.get((left, right))
         if ok is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > PAIRS:
                 self.fits.clear()
             ok = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
             self.fits[left, right] = ok
@@ -148,7 +153,7 @@ def _encoder(rank_file: str, pattern: str):
     if (rank_file, pattern) not in _ENCODERS:
         bpe = PrefixBPE(rank_file, pattern)
         _ENCODERS[rank_file, pattern] = (bpe, WordCache(lambda w: bpe.encode_word(" " + w)),
-                                         WordCache(bpe.encode_word))
+                                         WordCache(bpe.encode_word, FIRST_WORDS))
     return _ENCODERS[rank_file, pattern]
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words that one worker remembers between batches (about 250 bytes each).
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 
 
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> np.ndarray:
