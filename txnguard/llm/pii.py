@@ -10,7 +10,7 @@ spans of kind "term" where they stand beside the entity; base spans always stay.
 once. ``redact`` generalises every span to its kind in brackets.
 
 Where spans begin follows from the lengths of what lies between matches: one row a match, summed inside
-its text. Document frequencies are counted over the whole corpus for the words that qualify by support.
+its text. Document frequencies are counted over the whole corpus and joined with the words that qualify by support.
 
 Defined results: null and empty texts have no spans; rows that share doc_id and text have equal results;
 rows without doc_id are treated like others; empty tables give no rows; other columns pass unchanged and
@@ -38,8 +38,6 @@ TERM = r"\p{L}{3,}"
 REACH = 80
 SUPPORT = 3
 DISCLOSURE = 0.5
-#: Words that are broadcast at most; more are joined by shuffle.
-BROADCAST_TERMS = 20_000
 
 
 def _digits(value: Column) -> Column:
@@ -128,15 +126,10 @@ def disclosing_terms(docs: DataFrame, beside: DataFrame, support: int = SUPPORT,
     joint = (beside.groupBy("entity", "term").agg(F.countDistinct("around").alias("n_et"))
              .filter(F.col("n_et") >= support).join(entities, "entity"))
     joint = staged(joint, "joint")
-    terms = joint.select(F.col("term").alias("_term")).distinct()
-    n_terms = terms.count()
     n_docs = docs.count()
-    if n_terms <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text_of()), F.lit(TERM), F.lit(0)))).alias("term"))
-    df = (words.join(terms, F.col("term") == F.col("_term"), "left_semi")
-          .groupBy(F.col("term").alias("_dt")).agg(F.count(F.lit(1)).alias("df")))
+        F.lower(text_of()), F.lit(TERM), F.lit(0)))).alias("_dt"))
+    df = words.groupBy("_dt").agg(F.count(F.lit(1)).alias("df"))  # counted in the map tasks first
     pmi = F.log2(F.col("n_et") * F.lit(float(n_docs)) / (F.col("n_e") * F.col("df")))
     own = F.log2(F.lit(float(n_docs)) / F.col("n_e"))
     return (joint.join(df, F.col("term") == F.col("_dt")).filter((own > 0) & (pmi >= own * disclosure))
