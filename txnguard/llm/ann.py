@@ -30,6 +30,8 @@ TABLES = 8
 #: Cell width as a share of the median distance between two rows of a bounded sample.
 WIDTH_SHARE = 0.7
 SAMPLE_ROWS = 1000
+#: Cells that a query visits in each table at four hashes; four times as many for each hash more.
+PROBES = 40
 CHUNK_ROWS = 4096
 GROUP_ROWS = 20_000
 SEED = 20240607
@@ -188,7 +190,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         gaps = np.linalg.norm(x - np.roll(x, 1, axis=0), axis=1)
         width = float(np.median(gaps)) * WIDTH_SHARE or 1.0
     hashes = hashes or max(2, math.ceil(math.log2(max(n, 2)) / 4))
-    probes = probes or max(10, 40 * 2 ** (hashes - 4))
+    probes = probes or max(20, int(PROBES * 4.0 ** (hashes - 4)))
     hashed = staged(_hashed(index, hashes, width, tables, seed), "cells")
     large = (hashed.groupBy("cell").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > CHUNK_ROWS)
              .select(F.col("cell").alias("_cell"), F.ceil(F.col("_c") / CHUNK_ROWS).cast("int").alias("_chunks")))
