@@ -57,7 +57,8 @@ def stretches_of(symbols: Symbols, data: np.ndarray, offsets: np.ndarray, window
     place = owner - first
     whole = rolling.mix(rolling.range_hash(sums, first, last + window) ^ rolling.mix(place.astype(np.uint64)))
     text = np.searchsorted(ends, first, "right") - 1
-    return text, grams[owner], whole, first - ends[text], last - first + 1, place
+    # minimisers have small hashes; mixed again they are even
+    return text, rolling.mix(~grams[owner]), whole, first - ends[text], last - first + 1, place
 
 
 def repeat_flags(keys: list[np.ndarray], ids, tags, first, within: bool) -> np.ndarray:

@@ -222,7 +222,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whole = classes.filter("not open").select("doc_id", "tag", "first", "n")
     cold = _merge_ranges(pieces.filter("rest is not null"), window, gram)
     hot = R.resolve_hot(pieces.filter("rest is null").select("h1", "h2", "doc_id", "tag", "first"), within=True)
-    return whole.unionByName(cold).unionByName(hot)
+    return staged(whole.unionByName(cold).unionByName(hot), "byte-repeats")
 
 
 def kept_bytes(docs: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
