@@ -173,7 +173,7 @@ def pr_auc_frame(df: DataFrame, score: str = "score", label: str = "label", bins
 
 
 def pr_auc_evaluator(pred: DataFrame, label: str = "isFraud", raw: str = "rawPrediction") -> float:
-    """MLlib's evaluator (the original's metric), for comparison."""
+    """MLlib's evaluator (the original's metric) without down-sampling of the curve, for comparison."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw,
-                                         metricName="areaUnderPR").evaluate(pred)
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderPR",
+                                         numBins=0).evaluate(pred)
