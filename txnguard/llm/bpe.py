@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from txnguard.llm.wordwise import WordCache, encode_texts, whole_texts
+from txnguard.llm.wordwise import WordCache, encode_texts, slices, whole_texts
 
 
 #: Pairs of tokens whose compatibility one worker remembers (about 200 bytes each), and words that start a text.
@@ -167,7 +167,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame
 
     def run(batches):
         bpe, cache, first = _encoder(rank_file, pattern)
-        for b in batches:
+        for b in slices(batches):
             ids, offsets = encode_texts(whole_texts(b), cache, first, _ends_in_space, bpe.encode_word)
             lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists.cast(pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -203,7 +203,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
             lengths[r] = len(t)
         flat = np.frombuffer(b"".join(bpe.tokens.get(i, b"") for i in range(size)), np.uint8)
         begins = np.cumsum(lengths) - lengths
-        for b in batches:
+        for b in slices(batches):
             ids, offsets = encode_texts(whole_texts(b), cache, first, _ends_in_space, bpe.encode_word)
             raw = memoryview(np.ascontiguousarray(ids, "<u4").tobytes())
             byte_ends = np.concatenate(([0], np.cumsum(lengths[ids])))[offsets]

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.wordwise import WordCache, encode_texts, whole_texts
+from txnguard.llm.wordwise import WordCache, encode_texts, slices, whole_texts
 from txnguard.session import new_work_path
 
 ROW_GROUP_BYTES = 8 * 1024 * 1024
@@ -110,7 +110,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
 
     def run(batches):
         cache, at = _cache(tokenizer_file), 0
-        for b in batches:
+        for b in slices(batches):
             ids, offsets = encode_texts(pc.ascii_lower(whole_texts(b)), cache)  # as the normaliser does later
             ids = np.insert(ids.astype(np.int32), offsets[1:], end_id)
             offsets = offsets + np.arange(len(offsets))

@@ -13,6 +13,16 @@ import pyarrow.compute as pc
 CACHE_WORDS = 500_000
 
 
+#: Rows whose ids are gathered at a time: bounds a task's arrays, whatever the size of an Arrow batch.
+SLICE_ROWS = 2000
+
+
+def slices(batches, rows: int = SLICE_ROWS):
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> np.ndarray:
     """Concatenate flat[starts[i] : starts[i] + lengths[i]] for each i of ``pick``."""
     n = lengths[pick]
