@@ -237,6 +237,15 @@ def test_op9_personal_data(docs, rows):
     assert {(r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got if r.doc_id == 9013} == {(3, 1, 1, 1)}
 
 
+def test_op9_long_repetitions(spark):
+    """A digit run, a numeric table and a dotted host of 100,000 parts: no stack is used up, spans reach to the end."""
+    n = 100_000
+    docs = table(spark, [(1, "1" * n), (2, "1 " * n), (3, "m a@b" + ".c" * n), (4, "tel 4111 1111 1111 1111")])
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert got[3].spans == f"email:2:{5 + 2 * n}" and got[4].spans == "card:4:23"
+    assert (got[1].spans, got[2].spans) == ("", "")
+
+
 def test_op9_terms_that_disclose(spark):
     noise = [(i, f"some plain words of the corpus number {'abcdefghij'[i % 10]}") for i in range(400)]
     known = [(1000 + i, f"{'xyzuvw'[i]} the corpus of Zorbulon words zo@bu.on plain {'xyzuvw'[i]}") for i in range(6)]
