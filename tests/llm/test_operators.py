@@ -262,6 +262,24 @@ def test_op9_terms_that_disclose(spark):
     assert redacted[0] == noise[0][1]
 
 
+def _numbered(i):
+    """A word of letters for a number."""
+    return "n" + "".join(chr(97 + int(c)) for c in f"{i:04d}")
+
+
+def test_op9_terms_of_rare_entities(spark):
+    """An entity of one document, and one whose passage is copied into 50 documents, are told by their names."""
+    noise = [(i, f"some plain words of the corpus {_numbered(i % 500)} {_numbered(500 + i)}") for i in range(1000)]
+    rare = [(2000, "plain words of Zorbulon zo@bu.on the corpus")]
+    passage = [(3000 + i, f"{_numbered(i)} {_numbered(500 + i)} corpus, the words of Quimbly qu@im.bly plain") for i in range(50)]
+    got = {r.doc_id: r.spans for r in pii.find(table(spark, noise + rare + passage)).collect()}
+    for d, text in rare + passage:
+        name, mail = ("Zorbulon", "zo@bu.on") if d == 2000 else ("Quimbly", "qu@im.bly")
+        a, b = text.index(mail), text.index(name)
+        assert got[d] == f"email:{a}:{a + len(mail)},term:{b}:{b + len(name)}"
+    assert all(got[d] == "" for d, _ in noise)
+
+
 def test_op9_redact_keeps_rows_and_columns(docs, rows):
     out = pii.redact(docs)
     assert out.columns == docs.columns and out.count() == len(rows)

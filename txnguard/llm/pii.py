@@ -1,16 +1,16 @@
 """Personal data by patterns and information-theoretic sanitisation (operator 9). DataFrame functions only.
 
 Patterns find the base spans (email, ip, card, phone). Each value found is a protected entity. Words beside
-an entity's occurrences reveal it as far as the corpus says so: with N documents, df(t) documents holding
-word t, and n(e), n(e, t) the distinct surroundings of entity e and those that hold t, the pointwise
-mutual information log2(n(e, t) N / (n(e) df(t))) is compared with what the entity itself tells, log2(N /
-n(e)). Words at or above ``DISCLOSURE`` of it, seen in at least ``SUPPORT`` distinct surroundings, become
-spans of kind "term" where they stand beside the entity; base spans always stay. Surroundings reach
-``REACH`` code points to both sides, up to the next match of the same pattern; copies of one surrounding count
-once. ``redact`` generalises every span to its kind in brackets.
+an entity's occurrences reveal it as far as the corpus says so. All counts are of documents, equal texts being
+one: with N documents, n(e) holding entity e, df(t) holding word t and n(e, t) where t stands beside e, the
+pointwise mutual information log2(n(e, t) N / (n(e) df(t))) is compared with what the entity itself tells,
+log2(N / n(e)). Words at or above ``DISCLOSURE`` of it become spans of kind "term" where they stand beside the
+entity; base spans always stay. Rare entities count like others; chance is kept out by the mutual information
+of both over all documents, which must be significant (``EVIDENCE``). Surroundings reach ``REACH`` code points
+to both sides, up to the next match of the same pattern. ``redact`` generalises every span to its kind in brackets.
 
 Where spans begin follows from the lengths of what lies between matches: one row a match, summed inside
-its text. Document frequencies are counted over the whole corpus and joined with the words that qualify by support.
+its text. Document frequencies are counted over the whole corpus and joined with the words that stand beside entities.
 
 Defined results: null and empty texts have no spans; rows that share doc_id and text have equal results;
 rows without doc_id are treated like others; empty tables give no rows; other columns pass unchanged and
@@ -37,8 +37,14 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"\p{L}{3,}"
 REACH = 80
-SUPPORT = 3
 DISCLOSURE = 0.5
+#: Critical value of the chi-square distribution of one degree of freedom at a level of 0.0001.
+EVIDENCE = 15.137
+
+
+def text_key() -> Column:
+    """Identifies a text; rows of equal texts are one document to the counts."""
+    return F.xxhash64(text_of())
 
 
 def _digits(value: Column) -> Column:
@@ -83,9 +89,9 @@ def _matches(kind: str) -> Column:
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """_key, _id, kind, start, end, value, left, right of every base span (code points, end exclusive)."""
-    rows = docs.select(row_key().alias("_key"), F.col("doc_id").alias("_id"), text_of().alias("_t"))
+    rows = docs.select(row_key().alias("_key"), F.col("doc_id").alias("_id"), text_key().alias("_text"), text_of().alias("_t"))
     each = F.explode(F.concat(*[_matches(k) for k in KINDS])).alias("m")
-    rows = rows.select("_key", "_id", each).select("_key", "_id", "m.*").dropDuplicates(["_key", "_id", "kind", "i"])
+    rows = rows.select("_key", "_id", "_text", each).select("_key", "_id", "_text", "m.*").dropDuplicates(["_key", "_id", "kind", "i"])
     order = Window.partitionBy("_key", "_id", "kind").orderBy("i")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +102,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _terms_beside(spans: DataFrame) -> DataFrame:
-    """One row per word in an entity's surroundings: entity, surrounding (hash), term, and where it stands."""
+    """One row per word in an entity's surroundings: entity, text, term, and where it stands."""
     def words(side: str, origin: Column) -> Column:
         text = F.col(side)
         pieces, values = F.split(text, TERM, -1), F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
@@ -111,37 +117,56 @@ def _terms_beside(spans: DataFrame) -> DataFrame:
     cut_left = F.when((F.length("left") == REACH), left_at).otherwise(F.lit(-1))  # its first word may be cut
     cut_right = F.when((F.length("right") == REACH), F.col("end") + REACH).otherwise(F.lit(-1))
     near = F.concat(words("left", left_at), words("right", F.col("end")))
-    out = spans.select("_key", "_id", F.concat_ws(":", "kind", "value").alias("entity"),
-                       F.xxhash64("left", "right").alias("around"), cut_left.alias("_cl"), cut_right.alias("_cr"),
+    out = spans.select("_key", "_id", "_text", F.concat_ws(":", "kind", "value").alias("entity"), cut_left.alias("_cl"), cut_right.alias("_cr"),
                        F.explode(near).alias("p"))
     end = F.col("p.s") + F.length("p.w")
     return (out.filter((F.col("p.s") != F.col("_cl")) & (end != F.col("_cr")))
-            .select("_key", "_id", "entity", "around", F.lower("p.w").alias("term"),
+            .select("_key", "_id", "_text", "entity", F.lower("p.w").alias("term"),
                     F.col("p.s").cast("long").alias("start"), end.cast("long").alias("end")))
 
 
-def disclosing_terms(docs: DataFrame, beside: DataFrame, support: int = SUPPORT,
-                     disclosure: float = DISCLOSURE) -> DataFrame:
-    """entity, term pairs whose mutual information reaches ``disclosure`` of the entity's information."""
-    entities = beside.groupBy("entity").agg(F.countDistinct("around").alias("n_e")).filter(F.col("n_e") >= support)
-    joint = (beside.groupBy("entity", "term").agg(F.countDistinct("around").alias("n_et"))
-             .filter(F.col("n_et") >= support).join(entities, "entity"))
+def _tells(together: Column, n_e: Column, df: Column, n: float, disclosure: float) -> Column:
+    """Whether counts of documents show that a word discloses an entity: their pointwise mutual information
+    reaches its share of the entity's own, and 2 N times their mutual information (the G statistic of the four
+    counts) reaches ``EVIDENCE``."""
+    def cell(count: Column, row: Column, column: Column) -> Column:
+        return F.when(count > 0, count * F.log(count * n / (row * column))).otherwise(0.0)
+
+    k, e, t = (c.cast("double") for c in (together, n_e, df))
+    g = 2 * (cell(k, e, t) + cell(e - k, e, n - t) + cell(t - k, n - e, t) + cell(n - e - t + k, n - e, n - t))
+    own = F.log(n / e)
+    return (own > 0) & (F.log(k * n / (e * t)) >= own * disclosure * (1 - 1e-12)) & (g >= EVIDENCE)
+
+
+def _words(text: Column) -> Column:
+    """The distinct words of a text in lower case."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.transform(found, F.lower))
+
+
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """term, df: documents that hold each word; equal texts are one document."""
+    texts = docs.select(text_key().alias("_text"), text_of().alias("_t")).dropDuplicates(["_text"])
+    return (texts.select(F.explode(_words(F.col("_t"))).alias("term"))
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))  # counted in the map tasks first
+
+
+def disclosing_terms(docs: DataFrame, beside: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """entity, term pairs that the documents show to disclose the entity."""
+    n = float(docs.select(text_key()).distinct().count())
+    pairs = beside.select("entity", "term", "_text").distinct()
+    entities = beside.groupBy("entity").agg(F.countDistinct("_text").alias("n_e"))
+    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).join(entities, "entity")
     joint = staged(joint, "joint")
-    n_docs = docs.count()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text_of()), F.lit(TERM), F.lit(0)))).alias("_dt"))
-    df = words.groupBy("_dt").agg(F.count(F.lit(1)).alias("df"))  # counted in the map tasks first
-    pmi = F.log2(F.col("n_et") * F.lit(float(n_docs)) / (F.col("n_e") * F.col("df")))
-    own = F.log2(F.lit(float(n_docs)) / F.col("n_e"))
-    return (joint.join(df, F.col("term") == F.col("_dt")).filter((own > 0) & (pmi >= own * disclosure))
-            .select("entity", "term"))
+    return (joint.join(document_frequencies(docs), "term")
+            .filter(_tells(F.col("n_et"), F.col("n_e"), F.col("df"), n, disclosure)).select("entity", "term"))
 
 
-def spans_by_row(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def spans_by_row(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """_key, _id, spans (array of kind number, start, end; sorted by kind, then start) of rows with any."""
     base = staged(base_spans(docs), "base-spans")
     beside = staged(_terms_beside(base), "beside")
-    told = disclosing_terms(docs, beside, support, disclosure)
+    told = disclosing_terms(docs, beside, disclosure)
     number = F.lit(len(KINDS))
     for i, k in enumerate(KINDS):
         number = F.when(F.col("kind") == k, i).otherwise(number)
@@ -166,9 +191,9 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def find(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row."""
-    found = spans_by_row(docs, support, disclosure)
+    found = spans_by_row(docs, disclosure)
     spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<k:int,s:bigint,e:bigint>>"))
     rows = docs.select("doc_id", row_key().alias("_row"))
     out = rows.join(found, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
@@ -179,10 +204,10 @@ def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE
     return out.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def redact(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``docs`` with every span generalised to its kind, as in "[email]"; n_chars, where it exists, follows.
     Overlapping spans become the one that starts first."""
-    found = spans_by_row(docs, support, disclosure)
+    found = spans_by_row(docs, disclosure)
     names = F.array(*[F.lit(f"[{k}]") for k in (*KINDS, "term")])
     by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
