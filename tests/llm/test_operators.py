@@ -280,6 +280,16 @@ def test_op9_terms_of_rare_entities(spark):
     assert all(got[d] == "" for d, _ in noise)
 
 
+def test_op9_terms_far_from_their_entity(spark):
+    """Every occurrence in the document goes, however far from the entity; elsewhere the word stays."""
+    noise = [(i, f"some plain words of the corpus {_numbered(i % 500)} {_numbered(500 + i)}") for i in range(3000)]
+    far = "Zorbulon the\n\n" + "some plain words of the corpus " * 40 + "zo@bu.on\n\n" + "plain words " * 40 + "ZORBULON"
+    other = [(9100, "the words of Zorbulon some plain corpus")]
+    got = {r.doc_id: r.text for r in pii.redact(table(spark, [*noise, (9000, far), *other])).collect()}
+    assert got[9000] == far.replace("Zorbulon", "[term]").replace("ZORBULON", "[term]").replace("zo@bu.on", "[email]")
+    assert got[9100] == other[0][1]
+
+
 def test_op9_redact_keeps_rows_and_columns(docs, rows):
     out = pii.redact(docs)
     assert out.columns == docs.columns and out.count() == len(rows)

@@ -1,16 +1,17 @@
 """Personal data by patterns and information-theoretic sanitisation (operator 9). DataFrame functions only.
 
-Patterns find the base spans (email, ip, card, phone). Each value found is a protected entity. Words beside
-an entity's occurrences reveal it as far as the corpus says so. All counts are of documents, equal texts being
-one: with N documents, n(e) holding entity e, df(t) holding word t and n(e, t) where t stands beside e, the
-pointwise mutual information log2(n(e, t) N / (n(e) df(t))) is compared with what the entity itself tells,
-log2(N / n(e)). Words at or above ``DISCLOSURE`` of it become spans of kind "term" where they stand beside the
-entity; base spans always stay. Rare entities count like others; chance is kept out by the mutual information
-of both over all documents, which must be significant (``EVIDENCE``). Surroundings reach ``REACH`` code points
-to both sides, up to the next match of the same pattern. ``redact`` generalises every span to its kind in brackets.
+Patterns find the base spans (email, ip, card, phone). Each value found is a protected entity. Words of the
+documents that hold an entity reveal it as far as the corpus says so. All counts are of whole documents, equal
+texts being one: with N documents, n(e) holding entity e, df(t) word t and n(e, t) both, the pointwise mutual
+information log2(n(e, t) N / (n(e) df(t))) is compared with what the entity itself tells, log2(N / n(e)). Words
+at or above ``DISCLOSURE`` of it become spans of kind "term" wherever they stand in a document that holds the
+entity; base spans always stay. Rare entities count like others; chance is kept out by the mutual information of
+both over all documents, which must be significant (``EVIDENCE``). ``redact`` generalises every span to its kind in
+brackets.
 
 Where spans begin follows from the lengths of what lies between matches: one row a match, summed inside
-its text. Document frequencies are counted over the whole corpus and joined with the words that stand beside entities.
+its text. Document frequencies are counted over the whole corpus. They meet the words of the documents that hold an
+entity first, so words meet only entities that they could disclose.
 
 Defined results: null and empty texts have no spans; rows that share doc_id and text have equal results;
 rows without doc_id are treated like others; empty tables give no rows; other columns pass unchanged and
@@ -36,7 +37,6 @@ PATTERNS = {
 #: Cheap tests that every text with a match passes.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"\p{L}{3,}"
-REACH = 80
 DISCLOSURE = 0.5
 #: Critical value of the chi-square distribution of one degree of freedom at a level of 0.0001.
 EVIDENCE = 15.137
@@ -71,27 +71,30 @@ def _holds(kind: Column, value: Column) -> Column:
 
 
 def _matches(kind: str) -> Column:
-    """Array of (kind, i, gap, value, left, right) of one pattern's matches in the text ``_t``."""
+    """Array of (kind, i, gap, value) of one pattern's matches in the text ``_t``; gap: code points before it."""
     text, pattern = F.col("_t"), PATTERNS[kind]
     pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(pieces.alias("gap"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("after"),
-                          values.alias("value"))
-    found = F.transform(zipped, lambda m, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("i"), F.length(m["gap"]).alias("gap"), m["value"].alias("value"),
-        F.right(m["gap"], F.lit(REACH)).alias("left"), F.substring(m["after"], 1, REACH).alias("right")))
+    found = F.transform(F.arrays_zip(pieces.alias("gap"), values.alias("value")), lambda m, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), F.length(m["gap"]).alias("gap"), m["value"].alias("value")))
     found = F.filter(found, lambda m: m["value"].isNotNull())
     hint = HINTS[kind]
     may = F.contains(text, F.lit(hint)) if hint else text.rlike("[0-9]")
     return F.when(may, found).otherwise(F.filter(F.array(F.struct(
-        F.lit(kind).alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("gap"), F.lit("").alias("value"),
-        F.lit("").alias("left"), F.lit("").alias("right"))), lambda m: F.lit(False)))
+        F.lit(kind).alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("gap"), F.lit("").alias("value"))),
+        lambda m: F.lit(False)))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """_key, _id, kind, start, end, value, left, right of every base span (code points, end exclusive)."""
+def holders(docs: DataFrame) -> DataFrame:
+    """_key, _id, _text, _t and all matches (_m) of the rows that hold an entity."""
     rows = docs.select(row_key().alias("_key"), F.col("doc_id").alias("_id"), text_key().alias("_text"), text_of().alias("_t"))
-    each = F.explode(F.concat(*[_matches(k) for k in KINDS])).alias("m")
-    rows = rows.select("_key", "_id", "_text", each).select("_key", "_id", "_text", "m.*").dropDuplicates(["_key", "_id", "kind", "i"])
+    rows = rows.withColumn("_m", F.concat(*[_matches(k) for k in KINDS]))
+    return rows.filter(F.exists("_m", lambda m: _holds(m["kind"], m["value"])))
+
+
+def base_spans(rows: DataFrame) -> DataFrame:
+    """_key, _id, _text, kind, start, end, value of every base span (code points, end exclusive) of ``holders``."""
+    rows = (rows.select("_key", "_id", "_text", F.explode("_m").alias("m")).select("_key", "_id", "_text", "m.*")
+            .dropDuplicates(["_key", "_id", "kind", "i"]))
     order = Window.partitionBy("_key", "_id", "kind").orderBy("i")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -101,30 +104,6 @@ def base_spans(docs: DataFrame) -> DataFrame:
             .filter(_holds(F.col("kind"), F.col("value"))).drop("i", "gap"))
 
 
-def _terms_beside(spans: DataFrame) -> DataFrame:
-    """One row per word in an entity's surroundings: entity, text, term, and where it stands."""
-    def words(side: str, origin: Column) -> Column:
-        text = F.col(side)
-        pieces, values = F.split(text, TERM, -1), F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-        both = F.arrays_zip(pieces.alias("g"), values.alias("w"))  # at most REACH code points
-        lengths = F.transform(both, lambda p: F.length(p["g"]) + F.coalesce(F.length(p["w"]), F.lit(0)))
-        placed = F.transform(both, lambda p, i: F.struct(
-            p["w"].alias("w"), (origin + F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x)
-                                + F.length(p["g"])).alias("s")))
-        return F.filter(placed, lambda p: p["w"].isNotNull())
-
-    left_at = F.col("start") - F.length("left")
-    cut_left = F.when((F.length("left") == REACH), left_at).otherwise(F.lit(-1))  # its first word may be cut
-    cut_right = F.when((F.length("right") == REACH), F.col("end") + REACH).otherwise(F.lit(-1))
-    near = F.concat(words("left", left_at), words("right", F.col("end")))
-    out = spans.select("_key", "_id", "_text", F.concat_ws(":", "kind", "value").alias("entity"), cut_left.alias("_cl"), cut_right.alias("_cr"),
-                       F.explode(near).alias("p"))
-    end = F.col("p.s") + F.length("p.w")
-    return (out.filter((F.col("p.s") != F.col("_cl")) & (end != F.col("_cr")))
-            .select("_key", "_id", "_text", "entity", F.lower("p.w").alias("term"),
-                    F.col("p.s").cast("long").alias("start"), end.cast("long").alias("end")))
-
-
 def _tells(together: Column, n_e: Column, df: Column, n: float, disclosure: float) -> Column:
     """Whether counts of documents show that a word discloses an entity: their pointwise mutual information
     reaches its share of the entity's own, and 2 N times their mutual information (the G statistic of the four
@@ -151,27 +130,52 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))  # counted in the map tasks first
 
 
-def disclosing_terms(docs: DataFrame, beside: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """entity, term pairs that the documents show to disclose the entity."""
+def disclosing_terms(docs: DataFrame, rows: DataFrame, base: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """_text, term: the words of each text that disclose an entity it holds."""
     n = float(docs.select(text_key()).distinct().count())
-    pairs = beside.select("entity", "term", "_text").distinct()
-    entities = beside.groupBy("entity").agg(F.countDistinct("_text").alias("n_e"))
-    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).join(entities, "entity")
-    joint = staged(joint, "joint")
-    return (joint.join(document_frequencies(docs), "term")
-            .filter(_tells(F.col("n_et"), F.col("n_e"), F.col("df"), n, disclosure)).select("entity", "term"))
+    held = base.select("_text", F.concat_ws(":", "kind", "value").alias("entity")).distinct()
+    entities = staged(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entities")
+    most = entities.agg(F.max("n_e")).first()[0]
+    df = staged(document_frequencies(docs), "document-frequencies")
+    # no entity can be told by words above this; those of a hundredth of the documents (at most 100 times the words of
+    # a document) are taken out before words meet their frequencies by key
+    top = n * ((most or 1) / max(n, 1.0)) ** disclosure * (1 + 1e-9)
+    common = df.filter((F.col("df") > top) & (F.col("df") > n / 100)).select("term")
+    words = rows.select("_text", F.explode(_words(F.col("_t"))).alias("term")).join(F.broadcast(common), "term", "left_anti")
+    words = words.distinct().join(df.filter(F.col("df") <= top), "term")
+    might = _tells(F.least("n_e", "df"), F.col("n_e"), F.col("df"), n, disclosure)  # if together wherever they can be
+    pairs = staged(words.join(held.join(entities, "entity"), "_text").filter(might), "pairs")
+    told = (pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"), F.max("n_e").alias("n_e"), F.max("df").alias("df"))
+            .filter(_tells(F.col("n_et"), F.col("n_e"), F.col("df"), n, disclosure)))
+    return pairs.join(told, ["entity", "term"], "left_semi").select("_text", "term").distinct()
+
+
+def _places(terms: Column) -> Column:
+    """Array of (s, e) of every occurrence of the ``terms`` in the text ``_t``."""
+    pieces, values = F.split("_t", TERM, -1), F.regexp_extract_all(F.col("_t"), F.lit(TERM), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def step(done, p):
+        s = done["at"] + F.length(p["g"])
+        e = s + F.coalesce(F.length(p["w"]), F.lit(0))
+        hit = F.concat(done["out"], F.array(F.struct(s.alias("s"), e.alias("e"))))
+        return F.struct(e.alias("at"), F.when(F.array_contains(terms, F.lower(p["w"])), hit).otherwise(done["out"]).alias("out"))
+
+    return F.aggregate(F.arrays_zip(pieces.alias("g"), values.alias("w")), start, step, lambda done: done["out"])
 
 
 def spans_by_row(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """_key, _id, spans (array of kind number, start, end; sorted by kind, then start) of rows with any."""
-    base = staged(base_spans(docs), "base-spans")
-    beside = staged(_terms_beside(base), "beside")
-    told = disclosing_terms(docs, beside, disclosure)
+    rows = staged(holders(docs), "holders")
+    base = staged(base_spans(rows), "base-spans")
+    told = disclosing_terms(docs, rows, base, disclosure).groupBy("_text").agg(F.collect_set("term").alias("_terms"))
     number = F.lit(len(KINDS))
     for i, k in enumerate(KINDS):
         number = F.when(F.col("kind") == k, i).otherwise(number)
-    terms = (beside.join(told, ["entity", "term"], "left_semi")
-             .select("_key", "_id", F.lit("term").alias("kind"), "start", "end").distinct())
+    terms = (rows.select("_key", "_id", "_text", "_t").join(told, "_text")
+             .select("_key", "_id", F.explode(_places(F.col("_terms"))).alias("p"))
+             .select("_key", "_id", F.lit("term").alias("kind"), F.col("p.s").cast("long").alias("start"),
+                     F.col("p.e").cast("long").alias("end")).distinct())
     every = base.select("_key", "_id", "kind", "start", "end").unionByName(terms)
     span = F.struct(number.alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
     rows = every.groupBy("_key", "_id").agg(F.array_sort(F.collect_list(span)).alias("spans"))
