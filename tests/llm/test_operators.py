@@ -183,6 +183,26 @@ def test_op6_only_texts_of_training_rows_matter(spark):
     assert {r.doc_id: r.score for r in quality.predictions(docs.select("doc_id", "text"), flipped).collect()} == plain
 
 
+def test_op6_repeated_labelled_documents_reach_the_driver_once(spark, monkeypatch):
+    ship_package(spark)
+    texts = [(i, f"some words {i} " * 5) for i in range(40)] + [(1, f"other words {j % 7}") for j in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    docs, sizes = spark.createDataFrame(texts, "doc_id long, text string").repartition(4), []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: sizes.append(len(r := collect(self))) or r)
+    model = quality.fit(docs, labels)
+    assert max(sizes) <= 40
+    import pyarrow as pa
+    known = {r.doc_id for r in collect(labels.filter(~quality.held_out()))}
+    least = {}
+    for (i, _), c in zip(texts, quality.features(pa.array([t for _, t in texts], pa.large_string())), strict=True):
+        c = c.astype(np.float32).tobytes()
+        least[i] = min(least.get(i, c), c)
+    want = np.array([np.frombuffer(least[i], np.float32) for i in sorted(known)])
+    fresh = quality.Voter(want, np.array([i % 2 for i in sorted(known)], np.float32), model.prior, quality.RANK, quality.NEIGHBOURS)
+    assert np.array_equal(model.score(want), fresh.score(want))
+
+
 def test_op7_round_trip(docs, rows):
     import tiktoken
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}

@@ -126,7 +126,7 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = PER_LABEL,
         rank: int = RANK, k: int = NEIGHBOURS) -> Voter:
     """Learn from at most ``per_label`` rows of each label (those of least id hash) outside the held-out rows.
-    What reaches the driver is bounded: counts of these rows (``BUCKETS`` numbers each)."""
+    What reaches the driver is bounded: counts of one row for each id (``BUCKETS`` numbers each)."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_y")))
     prior = known.agg(F.avg("_y")).first()[0]
@@ -138,18 +138,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
             .select(F.col("_id"), "_y", "text"))
 
     def run(batches):
+        least: dict = {}  # repeated documents count once, with the least counts; at most 2 x per_label ids a task
+        schema = None
         for b in batches:
+            schema = b.schema
             packed = [c.astype(np.float32).tobytes() for c in features(whole_texts(b))]
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_y"), pa.array(packed, pa.binary())],
-                                             ["_id", "_y", "counts"])
+            for i, y, c in zip(b.column("_id").to_pylist(), b.column("_y").to_pylist(), packed, strict=True):
+                if i not in least or c < least[i][1]:
+                    least[i] = (y, c)
+        if least:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(least), schema.field("_id").type), pa.array([y for y, _ in least.values()], schema.field("_y").type),
+                 pa.array([c for _, c in least.values()], pa.binary())], ["_id", "_y", "counts"])
 
     id_type = picked.schema["_id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"_id {id_type}, _y int, counts binary").collect()
-    got.sort(key=lambda r: (r["_id"], bytes(r["counts"])))
-    seen: dict = {}
-    for r in got:  # repeated documents count once
-        seen.setdefault(r["_id"], r)
-    got = list(seen.values())
+    got = rows.mapInArrow(run, f"_id {id_type}, _y int, counts binary")
+    got = got.groupBy("_id", "_y").agg(F.min("counts").alias("counts")).collect()  # one row an id
+    got.sort(key=lambda r: r["_id"])
     counts = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(-1, BUCKETS + 1)
     return Voter(counts, np.array([r["_y"] for r in got], np.float32), 0.5 if prior is None else float(prior), rank, k)
 
