@@ -53,3 +53,20 @@ def gapless(df: DataFrame, keys: list[str], order: list, out: str, salt: Column,
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_b") == F.col("_kb")]
     return (df.join(counts, on, "left").withColumn(out, (F.col("_i") + F.col("_before")).cast("long"))
             .drop("_b", "_kb", "_i", "_before", *[f"_k_{k}" for k in keys]))
+
+
+def numbered(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """``rows`` (tree, ...) in ``order`` (tree first) with pos, the place in the tree from 0 without gaps, and n, the rows of
+    the tree. Ranges of the order are written once; one row per range and tree tells what stands before it, so
+    neither a tree nor a range is numbered in one task. Equal rows go to ranges of their own only if ``order`` parts them."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+                    .withColumns({"_part": F.spark_partition_id(),
+                                  "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), label)
+    tree = Window.partitionBy("tree")
+    before = tree.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (ranged.groupBy("tree", "_part").agg(F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first"))
+            .select(F.col("tree").alias("_tree"), F.col("_part").alias("_of"), F.sum("_c").over(tree).alias("n"),
+                    (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_shift")))
+    return (ranged.join(runs, (F.col("tree") == F.col("_tree")) & (F.col("_part") == F.col("_of")))
+            .withColumn("pos", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_tree", "_of", "_shift"))

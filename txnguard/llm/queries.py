@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from txnguard.llm import ann, bpe, decontaminate, pii, quality, sharding, simhash, substrings, suffix_dedup, token_files
+from txnguard.llm import (
+    ann, bpe, decontaminate, merkle, oracle, pii, quality, ranked, sharding, simhash, substrings, suffix_dedup, token_files,
+    vector_dedup,
+)
 from txnguard.llm.common import documents
 from txnguard.sources.tables import read_table
 
@@ -54,6 +57,22 @@ def op10_suffix_merge(spark, sf_dir):
     return suffix_dedup.kept_bytes(documents(spark, sf_dir), digest=True)
 
 
+def op11_merkle(spark, sf_dir):
+    """Proofs of all documents; where 3 divides the checksum of the id, the claimed text is in small letters."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claimed = F.when(tampered, small).otherwise(F.col("text"))
+    return merkle.proofs(documents(spark, sf_dir), changed={"text": claimed}, digest=True)
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_sorted_passes(spark, sf_dir):
+    return vector_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES = {"op11_merkle": oracle.OP11, "op12_ranked_search": oracle.OP12, "op13_sorted_passes": oracle.OP13}
