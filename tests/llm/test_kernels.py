@@ -144,8 +144,8 @@ def test_latin_words_meet_the_library_directly():
 
     from txnguard.llm import token_files
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
-    cache = token_files._cache(P.path("word_bpe_49k.json"))
+    cache = token_files._cache(P.path("word_bpe_49k.json"))[0]
+    assert cache.encode.__name__ == "of_word"
     for code in range(0x21, 0x250):
         for word in (chr(code), f"a{chr(code)}b1{chr(code)}"):
             if not word.isspace():

@@ -6,7 +6,8 @@ set sizes, and the page indexes let a reader take the pages of some documents, o
 ids. Files are ranges of doc_id, so a file's number orders it among the others.
 
 Defined results: null and empty texts hold the end id alone; null doc_ids come first; rows that share a
-doc_id are ordered by their text; extra columns are not read.
+doc_id are ordered by their text; extra columns are not read; the string of an added token inside a text is
+that token, as in the library, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.wordwise import WordCache, encode_texts, slices, whole_texts
+from txnguard.llm.wordwise import WordCache, encode_texts, replaced, slices, whole_texts
 from txnguard.session import new_work_path
 
 ROW_GROUP_BYTES = 8 * 1024 * 1024
@@ -31,7 +33,7 @@ END_ID = 2
 #: Pieces of words that one worker remembers.
 PIECES = 500_000
 
-_CACHES: dict[str, WordCache] = {}
+_CACHES: dict[str, tuple[WordCache, list[str], Callable[[str], bytes]]] = {}
 #: Words of printable ASCII and precomposed Latin letters (but the dotted capital I, whose lower case is two
 #: characters): what the normaliser does to them is lower-casing alone.
 _PLAIN = re.compile("[!-~\\t\\n\\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
@@ -50,16 +52,20 @@ def _byte_characters() -> dict[int, str]:
 _BYTE_CHARACTERS = _byte_characters()
 
 
-def _cache(tokenizer_file: str) -> WordCache:
-    """Encoder of one word for a worker process. A word without white space meets the same normaliser and
+def _cache(tokenizer_file: str) -> tuple[WordCache, list[str], Callable[[str], bytes]]:
+    """Encoder of one word for a worker process, the strings of the added tokens, and the library's encoder of a
+    whole text for texts that hold one. A word without white space meets the same normaliser and
     pre-splitting alone as inside its text, so words are encoded once each. Pieces go to the library's
     model directly; only words beyond ASCII need its normaliser and splitter."""
     if tokenizer_file not in _CACHES:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         lib = Tokenizer.from_file(tokenizer_file)
-        lib.encode_special_tokens = True  # their strings in a text are ordinary text
         model, pieces = lib.model, {}
+        added = [t.content for t in lib.get_added_tokens_decoder().values()]
+
+        def of_text(text: str) -> bytes:
+            return np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
         def of_piece(piece: str) -> bytes:
             ids = pieces.get(piece)
@@ -81,9 +87,8 @@ def _cache(tokenizer_file: str) -> WordCache:
             return np.array([t.id for p, _ in split for t in model.tokenize(p)], "<u4").tobytes()
 
         if type(model).__name__ != "BPE" or not _direct(lib, of_word):
-            def of_word(word: str) -> bytes:  # another kind of tokenizer file: the whole library path
-                return np.array(lib.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        _CACHES[tokenizer_file] = WordCache(of_word)
+            of_word = of_text  # another kind of tokenizer file: the whole library path
+        _CACHES[tokenizer_file] = WordCache(of_word), added, of_text
     return _CACHES[tokenizer_file]
 
 
@@ -91,7 +96,7 @@ def _direct(lib, of_word) -> bool:
     """Whether the direct path gives the library's ids on probes of every kind of character. ``encode_texts``
     lower-cases ASCII first, so the probes are tried both ways."""
     probes = ["Hello", "ÀÖØÞßàöøÿĀĸŉſƁƻǀǄȀɏ", "x\u00d7\u00f7y", "\u0130", "it's", "I'LL", "a1b22c", "x,y;z!!", "café", "Ångström", "漢字", "\U0001f600ok",
-              "a\tb\nc", "_-_", "'", "''s", "\x01\x7f", "İΣσ", "ﬁΩ", "<|endoftext|>x"]
+              "a\tb\nc", "_-_", "'", "''s", "\x01\x7f", "İΣσ", "ﬁΩ"]
     return all(np.frombuffer(of_word(p), "<u4").tolist() == lib.encode(p, add_special_tokens=False).ids
                for p in [*probes, *map(str.lower, probes)])
 
@@ -109,9 +114,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
               .withColumn("part", F.spark_partition_id()))
 
     def run(batches):
-        cache, at = _cache(tokenizer_file), 0
+        (cache, added, of_text), at = _cache(tokenizer_file), 0
         for b in slices(batches):
-            ids, offsets = encode_texts(pc.ascii_lower(whole_texts(b)), cache)  # as the normaliser does later
+            raw = whole_texts(b)
+            held = np.zeros(len(raw), bool)
+            for token in added:  # any case: a tokenizer file may look for them before or after it lower-cases
+                held |= pc.match_substring(raw, token, ignore_case=True).to_numpy(zero_copy_only=False)
+            ids, offsets = encode_texts(pc.ascii_lower(raw), cache)  # lower case as the normaliser makes it later
+            ids, offsets = replaced(ids, offsets, np.nonzero(held)[0], lambda t: of_text(raw[t].as_py()))  # noqa: B023
             ids = np.insert(ids.astype(np.int32), offsets[1:], end_id)
             offsets = offsets + np.arange(len(offsets))
             lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids))

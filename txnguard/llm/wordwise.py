@@ -83,18 +83,25 @@ def encode_texts(texts: pa.Array, cache: WordCache, first: WordCache | None = No
                 bad = np.concatenate((bad, bad[firsts]))
             hits = np.concatenate(([0], np.cumsum(bad[index])))
             redo = np.nonzero(hits[offsets[1:]] > hits[offsets[:-1]])[0]
-            if len(redo):
-                parts, sizes, last = [], np.diff(out_offsets), 0
-                for t in redo:
-                    own = np.frombuffer(whole(texts[int(t)].as_py()), dtype="<u4")
-                    parts += [ids[last:out_offsets[t]], own]
-                    last, sizes[t] = out_offsets[t + 1], len(own)
-                ids = np.concatenate(parts + [ids[last:]])
-                out_offsets = np.concatenate(([0], np.cumsum(sizes)))
+            ids, out_offsets = replaced(ids, out_offsets, redo, lambda t: whole(texts[t].as_py()))
     assert len(out_offsets) == n_texts + 1
     return ids, out_offsets
 
 
+def replaced(ids: np.ndarray, offsets: np.ndarray, rows: np.ndarray,
+             encode: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) with the ids of ``rows`` encoded anew."""
+    if not len(rows):
+        return ids, offsets
+    parts, sizes, last = [], np.diff(offsets), 0
+    for t in rows.tolist():
+        own = np.frombuffer(encode(t), dtype="<u4")
+        parts += [ids[last:offsets[t]], own]
+        last, sizes[t] = offsets[t + 1], len(own)
+    return np.concatenate([*parts, ids[last:]]), np.concatenate(([0], np.cumsum(sizes)))
+
+
 def whole_texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The column as one large_string array, null as the empty text."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    """The column as one large_string array, null as the empty text. Rows of a slice are copied first: casting
+    keeps a slice's offset, and ``pc.ascii_lower`` reads the wrong bytes of such an array."""
+    return pc.fill_null(pa.concat_arrays([batch.column(column)]).cast(pa.large_string()), "")
