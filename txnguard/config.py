@@ -60,6 +60,7 @@ class ScoringConfig:
     zero_std: str = "zero"              # "zero": z = 0 when stddev <= 0 or missing; "unit": divide by 1
     calendar_tz: str | None = None      # None: event_time is already wall-clock UTC
     allowed_lateness: str = "1 hour"    # stream: rows late by at most this have their full window; later ones are scored on what is held
+    dedup_horizon: str = "1 hour"       # stream: a transaction id is remembered for this long after its first arrival
     velocity_bucket: str | None = None  # stream: time split of a sender's state; None -> 8 x long window
     velocity_slice: str | None = None   # batch: time split of a sender's running sums; None -> the long window
     broadcast_max_rows: int = 2_000_000  # dims at most this many rows ...

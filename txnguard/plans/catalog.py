@@ -8,12 +8,15 @@ INT, flag arrays rendered as text (positions kept).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
+from datetime import datetime
 from typing import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from txnguard.config import FixtureSpec, ModelConfig, ScoringConfig
 from txnguard.functions.expressions import (
@@ -27,17 +30,24 @@ from txnguard.operators.enrich import (
 )
 from txnguard.operators.geo import geo_velocity
 from txnguard.operators.rules import apply_rules, blend, flags_text
+from txnguard.operators.search import rolling_search
 from txnguard.operators.velocity import self_velocity, sliding_velocity, trailing_velocity
 from txnguard.plans.scoring import ReferenceTables, alerts, features, score
 from txnguard.session import new_work_path
 from txnguard.sources import fixtures as fx
-from txnguard.sources.reference import build_baseline, build_known_devices, read_snapshot, write_snapshot
-from txnguard.sources.sinks import alert_report, read_alerts
+from txnguard.sources.reference import (
+    baseline_of_moments, build_baseline, build_known_devices, read_snapshot, refresh_baseline, write_bucketed, write_history,
+    write_snapshot,
+)
+from txnguard.sources.sinks import alert_report, read_alerts, write_batch_parquet
 from txnguard.sources.wire import (
     first_delivery, parse_transactions, read_transactions, reject_reason, wire_rows,
 )
 from txnguard.streaming import runner
-from txnguard.streaming.job import JobPaths, start_scoring_job
+from txnguard.streaming.batch_tables import BatchTable
+from txnguard.streaming.job import JobPaths, first_deliveries, start_scoring_job
+from txnguard.streaming.metrics import BatchMetrics
+from txnguard.streaming.second_sums import SecondSums
 from txnguard.streaming.velocity_state import trailing_velocity_stream
 
 SPEC = FixtureSpec()
@@ -53,6 +63,12 @@ def _r(*cols: str) -> list:
     return [rounded(c).alias(c) for c in cols]
 
 
+def _settled(df: DataFrame, *cols: str) -> DataFrame:
+    """Averages of amounts often lie on a tie of the sixth place, where the last bit of a sum decides; a thousandth of
+    that place is added before they are rounded, here and in the SQL."""
+    return df.withColumns({c: F.col(c) + F.lit(1e-9) for c in cols})
+
+
 def refs(spark: SparkSession, sf: str) -> ReferenceTables:
     return ReferenceTables(fx.blacklist_users(spark, sf, SPEC), fx.baseline(spark, sf, SPEC),
                            fx.known_devices(spark, sf, SPEC))
@@ -151,11 +167,42 @@ def q08_baseline_zscore(spark, sf):
     return df.select("txn_id", *_r("avg_amount", "stddev_amount", "amount_zscore"))
 
 
+def _bucketed(spark, df: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    name = f"{label}_{uuid.uuid4().hex[:8]}"
+    return write_bucketed(df, new_work_path(spark, label), name, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def q08_baseline_bucketed(spark, sf):
+    """J2 against a baseline above the broadcast bound: a table bucketed by the user, joined where it lies."""
+    base = _bucketed(spark, fx.baseline(spark, sf, SPEC), "baseline", ["user_id"])
+    df = enrich_with_baseline(fx.transactions(spark, sf), base, CFG.with_(broadcast_max_rows=0))
+    return df.select("txn_id", *_r("avg_amount", "stddev_amount", "amount_zscore"))
+
+
+def q10_device_bucketed(spark, sf):
+    """J3 against a device history above the broadcast bound, bucketed by both keys."""
+    dev = _bucketed(spark, fx.known_devices(spark, sf, SPEC), "devices", ["user_id", "device_id"])
+    df = enrich_with_device(fx.transactions(spark, sf), dev, CFG.with_(broadcast_max_rows=0))
+    return df.select("txn_id", "is_new_device")
+
+
 def q09_build_baseline(spark, sf):
     b = build_baseline(fx.history(fx.transactions(spark, sf), SPEC))
     return b.select("user_id", *_r("avg_amount", "stddev_amount"), "n_txn")
 
 
+def q09_baseline_refresh(spark, sf):
+    """A3 and S9 as a daily job: the history lies under one folder a day; each day's refresh merges that day into the
+    snapshot of the day before."""
+    root = new_work_path(spark, "daily")
+    write_history(fx.history(fx.transactions(spark, sf), SPEC), root + "/history")
+    days = sorted(r.event_date for r in spark.read.parquet(root + "/history").select(F.col("event_date").cast("string")).distinct().collect())
+    for previous, day in zip([None, *days], days, strict=False):
+        refresh_baseline(spark, root + "/history", root + "/moments", day, previous)
+    return _settled(baseline_of_moments(read_snapshot(spark, root + "/moments", days[-1])), "avg_amount", "stddev_amount").select(
+        "user_id", *_r("avg_amount", "stddev_amount"), "n_txn")
+
+
 def q10_new_device(spark, sf):
     dev = via_snapshot(spark, fx.known_devices(spark, sf, SPEC), "devices")
     df = enrich_with_device(fx.transactions(spark, sf), dev, CFG)
@@ -368,6 +415,20 @@ def q30_alerts_blended(spark, sf):
     return _alert_out(alerts(blend(apply_rules(f, CFG).withColumn("ml_fraud_score", ml_score), CFG), CFG))
 
 
+SEARCH_CUTS = [datetime(2024, 1, 11), SPEC.score_from, datetime(2024, 1, 21)]
+SEARCH_SETTINGS = {"stumps": {"max_iter": 3, "max_depth": 1}, "deeper": {"max_iter": 3, "max_depth": 4}}
+
+
+def q35_model_search(spark, sf):
+    """M11: two settings on two rolling-origin folds of the feature table; the sizes of each fold's parts, whether the area is
+    one, and whether the deeper trees are the better ones in that fold."""
+    table = _kept(spark, f"features:{sf}", lambda: materialize(labelled(spark, sf), "features"))
+    got = rolling_search(table, SEARCH_SETTINGS, SEARCH_CUTS, MCFG)
+    best = F.max_by("setting", "pr_auc").over(Window.partitionBy("fold"))
+    return got.select("setting", "fold", "n_train", "n_valid", "n_pos", F.col("pr_auc").between(0, 1).cast("int").alias("in_range"),
+                      best.alias("best_setting"))
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def _wire_stream(spark, sf, faults=False, duplicates=False, n_files=4, last=None) -> DataFrame:
@@ -397,6 +458,44 @@ def q15_stream_trailing_velocity(spark, sf):
     return _velocity_out(spark.read.parquet(out + "/data"))
 
 
+def _hot_sender(src: DataFrame) -> DataFrame:
+    """A third of the payments come from one sender."""
+    return src.withColumn("sender_id", F.when(F.col("event_id") % 3 == 0, F.lit("USER_HOT")).otherwise(F.col("sender_id")))
+
+
+def q15_stream_hot_sender(spark, sf):
+    """V4 on summaries a second: a third of the feed has one sender; velocity of every row at the original's windows."""
+    path = new_work_path(spark, "wire")
+    k = runner.write_wire_files(wire_rows(_hot_sender(fx.transaction_source(spark, sf)), SPEC), path, 4)
+    stream = parse_transactions(runner.read_wire_stream(spark, path, files_per_trigger=k))
+    out = new_work_path(spark, "q15-hot")
+    sums = SecondSums(spark, out + "/state", CFG)
+
+    def write(batch, batch_id):
+        write_batch_parquet(sums.add(batch, batch_id), out + "/data", batch_id)
+        sums.tidy(batch_id)
+
+    _finish(stream.writeStream.foreachBatch(write).option("checkpointLocation", out + "/_checkpoint")
+            .trigger(availableNow=True).start())
+    return _velocity_out(_settled(spark.read.parquet(out + "/data"), "avg_amount_10m", "stddev_amount_10m"))
+
+
+def q17_stream_dedup(spark, sf):
+    """V8 keyed by the id alone: every redelivery has another sender, time and amount than the first delivery."""
+    path = new_work_path(spark, "wire")
+    src = fx.transaction_source(spark, sf)
+    k = runner.write_wire_files(wire_rows(src, SPEC), path, 3)
+    later = F.timestamp_add("DAY", F.lit(40), F.col("event_time"))
+    again = src.filter(F.col("event_id") % SPEC.duplicate_mod == 0).withColumns(
+        {"sender_id": F.col("receiver_id"), "event_time": later, "ingest_time": later, "amount": F.col("amount") + 1})
+    runner.write_wire_files(wire_rows(again, SPEC), path, 1, files_per_slice=k)
+    out = new_work_path(spark, "q17")
+    stream = first_deliveries(parse_transactions(runner.read_wire_stream(spark, path, files_per_trigger=k)), CFG)
+    runner.run_to_parquet(stream, out + "/data", out + "/_checkpoint")
+    return spark.read.parquet(out + "/data").select(
+        "txn_id", "sender_id", "amount", instant_to_utc_ntz("event_time").alias("event_time"))
+
+
 def _run_job(spark, sf) -> JobPaths:
     raw = _wire_stream(spark, sf, faults=True, duplicates=True)
     paths = JobPaths(new_work_path(spark, "job"))
@@ -422,6 +521,32 @@ def q31_alert_listing(spark, sf):
                           flags_text().alias("rule_flags"))
 
 
+def q16_progress_metrics(spark, sf):
+    """V5: what the job's progress reports say of all its batches, and whether each batch's rows are those of the stats sink."""
+    raw = _wire_stream(spark, sf, faults=True, duplicates=True)
+    paths = JobPaths(new_work_path(spark, "metered-job"))
+    name = "metered_" + uuid.uuid4().hex[:8]
+    with BatchMetrics(spark, name) as metrics:
+        _finish(start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, CFG, available_now=True, name=name))
+    stats = spark.read.parquet(paths.stats).select(F.col("batch_id").cast("long").alias("batch_id"), F.col("n_rows").alias("n_sink"))
+    return (metrics.frame().join(stats, "batch_id", "full")
+            .agg(F.sum("n_delivered").alias("n_delivered"), F.sum("n_redelivered").alias("n_redelivered"),
+                 F.sum("n_rows").alias("n_rows"),
+                 F.sum((~F.coalesce(F.col("n_rows") == F.col("n_sink"), F.lit(False))).cast("long")).alias("n_batches_differ")))
+
+
+def q31_alert_table(spark, sf):
+    """S2 by date: the job's alert table after its batches were compacted; alerts and their amount a date."""
+    raw = _wire_stream(spark, sf, faults=True, duplicates=True)
+    paths = JobPaths(new_work_path(spark, "dated-job"))
+    _finish(start_scoring_job(spark, raw, lambda: refs(spark, sf), paths, CFG, available_now=True, dated_alerts=True))
+    table = BatchTable(spark, paths.alert_table, ["date"])
+    table.compact(keep_last=1)
+    stored = table.read(StructType([*spark.read.parquet(paths.alerts).drop("batch_id").schema.fields,
+                                    StructField("date", StringType())]))
+    return stored.groupBy("date").agg(F.count(F.lit(1)).alias("n_alerts"), rounded(F.sum("amount")).alias("total_amount"))
+
+
 def _sink_counts(spark, paths: JobPaths) -> DataFrame:
     a = spark.read.parquet(paths.alerts).select(F.lit("alerts").alias("sink"), "amount")
     s = spark.read.parquet(paths.safe).select(F.lit("safe").alias("sink"), "amount")

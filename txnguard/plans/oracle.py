@@ -7,6 +7,7 @@ rounded to 6 places, counts are BIGINT and flags INTEGER on both sides.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from txnguard.config import FixtureSpec, ModelConfig, ScoringConfig, duration_micros
@@ -250,10 +251,14 @@ SELECT sender_id AS user_id, round(avg(amount), 6) AS avg_amount, round(stddev_s
        count(*)::BIGINT AS n_txn
 FROM src WHERE event_time < {hist} GROUP BY sender_id"""
 
+    q["q09_baseline_refresh"] = q["q09_build_baseline"].replace("(amount), 6", "(amount) + 1e-9, 6")
+
     q["q10_new_device"] = f"""WITH {src_cte(spec)}, {dev_cte(spec)}
 SELECT t.txn_id, CASE WHEN d.device_id IS NULL THEN 1 ELSE 0 END AS is_new_device
 FROM src t LEFT JOIN dev d ON t.sender_id = d.user_id AND t.device_id = d.device_id"""
 
+    q["q08_baseline_bucketed"], q["q10_device_bucketed"] = q["q08_baseline_zscore"], q["q10_new_device"]
+
     q["q11_build_device_history"] = f"""{W}
 SELECT sender_id AS user_id, device_id, min(event_time) AS first_seen, count(*)::BIGINT AS n_txn
 FROM src WHERE event_time < {hist} AND device_id IS NOT NULL GROUP BY 1, 2"""
@@ -277,6 +282,12 @@ FROM src t LEFT JOIN base b ON t.sender_id = b.user_id"""
 
     q["q15_stream_trailing_velocity"] = f"WITH {src_cte(spec, ms=True)}, {vel_cte(cfg)}\n{vel_out}"
 
+    hot = "srch AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'USER_HOT' ELSE sender_id END AS sender_id) FROM src)"
+    settled = re.sub(r"round\((avg|stddev)_amount_10m", r"round(\1_amount_10m + 1e-9", vel_out)
+    q["q15_stream_hot_sender"] = f"WITH {src_cte(spec, ms=True)}, {hot}, {vel_cte(cfg, 'srch')}\n{settled}"
+
+    q["q17_stream_dedup"] = f"{Wms}\nSELECT txn_id, sender_id, amount, event_time FROM src"
+
     q["q16_lateness_report"] = f"""{W}
 SELECT date_trunc('hour', event_time) AS hour_start, count(*)::BIGINT AS n_rows,
        sum(CASE WHEN delay > 30.0 THEN 1 ELSE 0 END)::BIGINT AS n_late,
@@ -342,6 +353,16 @@ SELECT feature, value, (row_number() OVER (PARTITION BY feature ORDER BY n DESC,
        n::BIGINT AS n_rows
 FROM c"""
 
+    folds = [(0, datetime(2024, 1, 11), spec.score_from), (1, spec.score_from, datetime(2024, 1, 21))]
+    fold_rows = "\nUNION ALL ".join(
+        f"SELECT {i} AS fold, sum((event_time < {_ts(a)})::INTEGER)::BIGINT AS n_train, "
+        f"sum((event_time >= {_ts(a)} AND event_time < {_ts(b)})::INTEGER)::BIGINT AS n_valid, "
+        f"sum(CASE WHEN event_time >= {_ts(a)} AND event_time < {_ts(b)} THEN {label_sql()} ELSE 0 END)::BIGINT AS n_pos FROM src"
+        for i, a, b in folds)
+    q["q35_model_search"] = f"""{W}, f AS ({fold_rows})
+SELECT setting, fold::INTEGER AS fold, n_train, n_valid, n_pos, 1::INTEGER AS in_range, 'deeper' AS best_setting
+FROM f, (VALUES ('stumps'), ('deeper')) s(setting)"""
+
     mc = ModelConfig()
     med_cols = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in mc.numeric_features)
     f_cols = [f"coalesce(t.{c}, med.{c})::DOUBLE AS f_{c}" for c in mc.numeric_features]
@@ -417,6 +438,16 @@ SELECT txn_id, sender_id, receiver_id, amount, round(fraud_rule_score, 6) AS fin
        rule_flags_text AS rule_flags
 FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)}"""
 
+    n_again = f"sum((event_id % {spec.duplicate_mod} = 0)::INTEGER)"
+    n_kept = f"""sum((event_id % {spec.duplicate_mod} = 0 AND event_id % {spec.fault_mod} = 0
+         AND (event_id // {spec.fault_mod}) % 4 IN (0, 3))::INTEGER)"""  # redelivered without an id: stay
+    q["q16_progress_metrics"] = f"""SELECT (count(*) + {n_again})::BIGINT AS n_delivered, ({n_again} - {n_kept})::BIGINT AS n_redelivered,
+       (count(*) + {n_kept})::BIGINT AS n_rows, 0::BIGINT AS n_batches_differ FROM events"""
+
+    q["q31_alert_table"] = f"""{Sx}
+SELECT strftime(event_time, '%Y-%m-%d') AS date, count(*)::BIGINT AS n_alerts, round(sum(amount), 6) AS total_amount
+FROM scored WHERE fraud_rule_score >= {_d(cfg.alert_threshold)} GROUP BY 1"""
+
     # redelivered rejects without a transaction id cannot be told apart and stay
     rejects = f"""SELECT 'rejects', (count(*) + sum(CASE WHEN event_id % {spec.duplicate_mod} = 0
          AND (event_id // {spec.fault_mod}) % 4 IN (0, 3) THEN 1 ELSE 0 END))::BIGINT, NULL::DOUBLE

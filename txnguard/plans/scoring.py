@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from txnguard.config import ModelConfig, ScoringConfig
 from txnguard.functions.expressions import ntz_literal
 from txnguard.operators.enrich import (
-    add_calendar, baseline_dimension, blacklist_dimension, device_dimension, enrich_with_baseline,
+    SegmentDimension, add_calendar, baseline_dimension, blacklist_dimension, device_dimension, enrich_with_baseline,
     enrich_with_blacklist, enrich_with_device,
 )
 from txnguard.operators.rules import apply_rules, blend
@@ -36,7 +36,7 @@ class ReferenceTables:
 class JoinDimensions:
     """Join-ready, size-checked sides of J1-J3 (prepared once, reused by many plans,
     e.g. every micro-batch of the streaming job until the references refresh)."""
-    blacklist: DataFrame     # _bl_key, bl_receiver_severity
+    blacklist: DataFrame | SegmentDimension  # _bl_key, bl_receiver_severity; or validity segments
     baseline: DataFrame      # _b_user, avg_amount, stddev_amount
     devices: DataFrame       # _d_user, _d_dev, _d_known
 
@@ -98,9 +98,9 @@ def score(txn: DataFrame, refs: ReferenceTables | JoinDimensions, cfg: ScoringCo
     return blend(df, cfg, has_model=model is not None)
 
 
-def alerts(scored: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:
-    """Rows with final_fraud_score >= threshold, 13-column output projection."""
-    return scored.filter(F.col("final_fraud_score") >= F.lit(cfg.alert_threshold)).select(*OUTPUT_COLUMNS)
+def alerts(scored: DataFrame, cfg: ScoringConfig = ScoringConfig(), more: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with final_fraud_score >= threshold, 13-column output projection (and ``more`` columns after it)."""
+    return scored.filter(F.col("final_fraud_score") >= F.lit(cfg.alert_threshold)).select(*OUTPUT_COLUMNS, *more)
 
 
 def safe_rows(scored: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:

@@ -126,12 +126,11 @@ def reject_reason() -> Column:
 
 def first_delivery(parsed: DataFrame, key: str = "txn_id", order: str = "kafka_ts") -> DataFrame:
     """Batch de-duplication of redelivered transactions: keep the earliest delivery
-    per ``key`` plus the number of copies. An aggregate (partial per partition, then
-    final), so a key delivered very many times is combined map-side.
-    A null key identifies nothing: such rows all stay, with n_copies 1."""
-    others = [c for c in parsed.columns if c != key]
-    agg = (parsed.filter(F.col(key).isNotNull()).groupBy(key)
-           .agg(F.min_by(F.struct(*others), F.col(order)).alias("_first"),
-                F.count(F.lit(1)).alias("n_copies")))
-    unkeyed = parsed.filter(F.col(key).isNull()).select(key, *others, F.lit(1).cast("long").alias("n_copies"))
-    return agg.select(key, "_first.*", "n_copies").unionByName(unkeyed)
+    per ``key`` plus the number of copies; of deliveries at one time, the least in its other columns. An aggregate
+    (partial per partition, then final), so a key delivered very many times is combined map-side.
+    A null key identifies nothing: such rows all stay, with n_copies 1. The input is read once."""
+    others = [c for c in parsed.columns if c not in (key, order)]
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())  # tells rows without a key apart
+    return (parsed.withColumn("_own", own).groupBy(key, "_own")
+            .agg(F.min(F.struct(order, *others)).alias("_first"), F.count(F.lit(1)).alias("n_copies"))
+            .select(key, *[F.col("_first")[c].alias(c) for c in parsed.columns if c != key], "n_copies"))
