@@ -155,29 +155,39 @@ def asked(spark):
     return items
 
 
-@pytest.mark.parametrize("first,growth", [(128, 4), (1, 2), (3, 4)])
-def test_op12_equals_scoring_every_document(spark, texts, asked, first, growth):
-    df = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("doc", "term", "n", "q")})
+@pytest.mark.parametrize("shard,depth", [(None, 64), (7, 1), (100, 3)])
+def test_op12_equals_scoring_every_document(spark, texts, asked, shard, depth, monkeypatch):
+    monkeypatch.setattr(ranked.read_lists, "__defaults__", (depth,))
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("doc", "terms", "n", "item")})
     items = spark.createDataFrame(asked, "item_id long, text string").withColumn("item", F.lit(1))
-    got = ranked.search(df.repartition(3), items, first=first, growth=growth).collect()
+    got = ranked.search(df.repartition(3), items, shard=shard).collect()
     assert ordered(map(tuple, got)) == ordered(plain_search(texts, asked))
 
 
-def test_op12_stops_reading_when_the_best_are_settled(spark, monkeypatch):
-    """Rare words settle the best documents; the long list of the common word is read only in its first tiers."""
-    docs = [(i, "common " * (i % 2 * (1 + i % 5)) + f"filler{i} " * (3 + i % 7)) for i in range(3000)]
-    docs += [(5000 + i, "common rareone raretwo") for i in range(10)]
-    read, plain = [], ranked.Index.tier
-    monkeypatch.setattr(ranked.Index, "tier", lambda self, t: read.append((t, self.tiers)) or plain(self, t))
-    items = [(1, "common rareone raretwo")]
-    got = ranked.search(spark.createDataFrame(docs, "doc_id long, text string"),
-                        spark.createDataFrame(items, "item_id long, text string"), first=4).collect()
-    assert ordered(map(tuple, got)) == ordered(plain_search(docs, items))
-    assert len(read) < read[0][1]
-
-
-def test_op12_portions_of_terms_and_pieces_of_texts(spark, texts, asked, monkeypatch):
-    monkeypatch.setattr(ranked, "VOCABULARY_BYTES", 500)
+def test_op12_reads_lists_only_until_the_best_are_settled():
+    """Random lists against full sums; where rare terms settle the best, the long list is left after a few rounds."""
+    rng = np.random.default_rng(2)
+    for trial in range(200):
+        n, k = int(rng.integers(1, 60)), int(rng.integers(1, 5))
+        lists = [rng.choice(n, int(rng.integers(1, n + 1)), replace=False) for _ in range(int(rng.integers(1, 6)))]
+        values = [np.sort(rng.integers(1, 6, len(x)))[::-1] for x in lists]
+        total = np.zeros(n, np.int64)
+        for d, x in zip(lists, values):
+            total[d] += x
+        ends = np.cumsum([len(x) for x in lists])
+        floor = int(rng.integers(0, 4)) if trial % 2 else 0
+        met, scores, _ = ranked.read_lists(ends - [len(x) for x in lists], ends, np.concatenate(lists), np.concatenate(values), n, k, floor, 1)
+        assert (scores == total[met]).all()
+        kth = max(floor, int(np.sort(total)[-k]) if n >= k else 0, 1)
+        assert {d for d in range(n) if total[d] >= kth} <= set(met.tolist())
+    docs = np.concatenate((np.arange(10), np.arange(100_000)))
+    impact = np.concatenate((np.full(10, 10**6), np.arange(100_000, 0, -1)))
+    met, scores, read = ranked.read_lists(np.array([0, 10]), np.array([10, 100_010]), docs, impact, 100_000, 10, 0)
+    assert set(met) == set(range(10)) and read < 1000
+
+
+def test_op12_portions_of_items_and_pieces_of_texts(spark, texts, asked, monkeypatch):
+    monkeypatch.setattr(ranked, "ITEM_BYTES", 500)
     monkeypatch.setattr(ranked, "PIECE", 7)
     some = texts[-400:]
     df = spark.createDataFrame(some, "doc_id long, text string").coalesce(2)
