@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,12 @@ class PrefixBPE:
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.tokens = {r: t for t, r in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
+        sizes: dict[bytes, set[int]] = {}
+        for t in self.ranks:
+            if len(t) > 2:
+                sizes.setdefault(t[-3:], set()).add(len(t))
+        #: last three bytes -> sizes of the tokens that may end with them, longest first
+        self.ends = {t: (*sorted(n, reverse=True), 2, 1) for t, n in sizes.items()}
         self.pattern = regex.compile(pattern)
         self.fits: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
@@ -72,10 +79,11 @@ class PrefixBPE:
 
     def extend(self, data: bytes, last: list[int], to: int) -> list[int]:
         """Fill ``last`` (last[i]: last token of the encoding of data[:i + 1]) up to data[:to]."""
-        ranks, fits, longest = self.ranks, self.fits, self.longest
+        ranks, fits, ends = self.ranks, self.fits, self.ends
         for end in range(len(last) + 1, to + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks.get(data[start:end])
+            for size in ends.get(data[end - 3:end], (2, 1)) if end > 2 else (2, 1):
+                start = end - size
+                token = ranks.get(data[start:end]) if start >= 0 else None
                 if token is None:
                     continue
                 if start == 0:
@@ -104,7 +112,7 @@ class PrefixBPE:
 
     def encode_word(self, word: str) -> bytes:
         ids = [i for m in self.pattern.findall(word) for i in self.encode_piece(m.encode("utf-8", "surrogatepass"))]
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_word(text), dtype="<u4").tolist()
