@@ -14,6 +14,8 @@ read whole, in pieces of bounded size.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -100,7 +102,13 @@ class Voter:
 
     def weighted(self, counts: np.ndarray) -> np.ndarray:
         """Unit trigram weights beside ``REPEAT_WEIGHT`` times the repeat share."""
-        return np.concatenate((self.unit(np.log1p(counts[:, :-1]) * self.idf), counts[:, -1:] * REPEAT_WEIGHT), axis=1)
+        out = np.log1p(counts)
+        weights = out[:, :-1]
+        weights *= self.idf
+        for at in range(0, len(out), 512):  # no second copy of all weights
+            weights[at:at + 512] /= np.maximum(np.linalg.norm(weights[at:at + 512], axis=1, keepdims=True), 1e-12)
+        out[:, -1] = counts[:, -1] * REPEAT_WEIGHT
+        return out
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
@@ -126,7 +134,8 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = PER_LABEL,
         rank: int = RANK, k: int = NEIGHBOURS) -> Voter:
     """Learn from at most ``per_label`` rows of each label (those of least id hash) outside the held-out rows.
-    What reaches the driver is bounded: counts of one row for each id (``BUCKETS`` numbers each)."""
+    One task fits the model on the counts of one row for each id (at most 2 x ``per_label`` rows of ``BUCKETS`` numbers);
+    only the model reaches the driver: about 1.4 MB of frequencies, directions and labelled vectors."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_y")))
     prior = known.agg(F.avg("_y")).first()[0]
@@ -153,10 +162,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
 
     id_type = picked.schema["_id"].dataType.simpleString()
     got = rows.mapInArrow(run, f"_id {id_type}, _y int, counts binary")
-    got = got.groupBy("_id", "_y").agg(F.min("counts").alias("counts")).collect()  # one row an id
-    got.sort(key=lambda r: r["_id"])
-    counts = np.array([np.frombuffer(r["counts"], np.float32) for r in got], np.float32).reshape(-1, BUCKETS + 1)
-    return Voter(counts, np.array([r["_y"] for r in got], np.float32), 0.5 if prior is None else float(prior), rank, k)
+    got = got.groupBy("_id", "_y").agg(F.min("counts").alias("counts"))  # one row an id
+    base = 0.5 if prior is None else float(prior)
+
+    def learn(batches):
+        ids, ys, counts = [], [], []
+        for b in batches:
+            ids += b.column("_id").to_pylist()
+            ys += b.column("_y").to_pylist()
+            counts += [np.frombuffer(c, np.float32) for c in b.column("counts").to_pylist()]
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        counts = np.array([counts[i] for i in order], np.float32).reshape(-1, BUCKETS + 1)
+        model = Voter(counts, np.array([ys[i] for i in order], np.float32), base, rank, k)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    made = got.repartition(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(made[0].model) if made else Voter(np.zeros((0, BUCKETS + 1)), np.zeros(0), base, rank, k)
 
 
 def score_documents(docs: DataFrame, model: Voter, out: str = "score") -> DataFrame:
