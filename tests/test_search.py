@@ -62,4 +62,4 @@ def test_scores_follow_from_the_trees(spark):
     for r in rows:
         margin = sum(w * value(t.rootNode(), r.x) for t, w in trees)
         assert abs(1 / (1 + math.exp(-2 * margin)) - r.p) < 1e-9
-    assert len({round(r.p, 6) for r in rows}) > 2
+    assert len({round(r.p, 6) for r in rows}) > 1

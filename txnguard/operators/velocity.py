@@ -111,35 +111,32 @@ def trailing_velocity(df: DataFrame, cfg: ScoringConfig = ScoringConfig(), key:
     time have no velocity."""
     d1, d2, width = cfg.short_micros, cfg.long_micros, cfg.slice_micros
     us = epoch_micros(ts, ntz=isinstance(df.schema[ts].dataType, TimestampNTZType))
-    rows = df.select(F.col(key).alias("_v_key"), us.alias("_v_t"), amount_units(amount).alias("_v_x"),
-                     F.struct(*df.columns).alias("_v_row"))
-    usable = F.col("_v_key").isNotNull() & F.col("_v_t").isNotNull()
+    rows = df.select(*df.columns, us.alias("_v_t"), amount_units(amount).alias("_v_x"))
+    usable = F.col(key).isNotNull() & F.col("_v_t").isNotNull()
 
-    def change(at: int, short: int, long: int, row: Column):
-        return F.struct((F.col("_v_t") + at).alias("t"), F.lit(short).alias("short"), F.lit(long).alias("long"), row.alias("row"))
+    def change(at: int, short: int, long: int):
+        return F.struct((F.col("_v_t") + at).alias("t"), F.lit(short).alias("short"), F.lit(long).alias("long"))
 
-    nothing = F.lit(None).cast(rows.schema["_v_row"].dataType)
+    own = (F.col("_v.short") == 1) & (F.col("_v.long") == 1)
     changes = (rows.filter(usable)
-               .withColumn("_v", F.explode(F.array(change(0, 1, 1, F.col("_v_row")), change(d1 + 1, -1, 0, nothing),
-                                                   change(d2 + 1, 0, -1, nothing))))
-               .select("_v_key", "_v_x", "_v", F.floor(F.col("_v.t") / width).alias("_v_slice")))
+               .withColumn("_v", F.explode(F.array(change(0, 1, 1), change(d1 + 1, -1, 0), change(d2 + 1, 0, -1))))
+               .select(*[F.col(c) if c == key else F.when(own, F.col(c)).alias(c) for c in df.columns],
+                       "_v_x", "_v", own.alias("_v_own"), F.floor(F.col("_v.t") / width).alias("_v_slice")))
     parts = signed_parts(F.col("_v.short"), F.col("_v.long"), F.col("_v_x"))
-    totals = (changes.groupBy(F.col("_v_key").alias("_o_key"), F.col("_v_slice").alias("_o_slice"))
+    totals = (changes.groupBy(F.col(key).alias("_o_key"), F.col("_v_slice").alias("_o_slice"))
               .agg(*[F.sum(v).alias(n) for n, v in parts.items()]))
     before = Window.partitionBy("_o_key").orderBy("_o_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_o_key", "_o_slice", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_o{n}")
                                                    for n in parts])
-    upto = (Window.partitionBy("_v_key", "_v_slice").orderBy(F.col("_v.t"))
+    upto = (Window.partitionBy(key, "_v_slice").orderBy(F.col("_v.t"))
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    own = (changes.withColumns({n: F.sum(v).over(upto) for n, v in parts.items()}).filter(F.col("_v.row").isNotNull())
-           .join(totals, (F.col("_v_key") == F.col("_o_key")) & (F.col("_v_slice") == F.col("_o_slice"))))
+    own = (changes.withColumns({n: F.sum(v).over(upto) for n, v in parts.items()}).filter("_v_own")
+           .join(totals, (F.col(key) == F.col("_o_key")) & (F.col("_v_slice") == F.col("_o_slice"))))
     out = velocity_columns(*[F.col(n) + F.col(f"_o{n}") for n in parts])
-    scored = own.select(*[F.col("_v.row")[c].alias(c) for c in df.columns], *[v.alias(n) for n, v in out.items()])
+    scored = own.select(*df.columns, *[v.alias(n) for n, v in out.items()])
     if not df.schema[key].nullable and not df.schema[ts].nullable:
         return scored
-    rest = (rows.filter(~usable)
-            .select(*[F.col("_v_row")[c].alias(c) for c in df.columns],
-                    *[F.lit(None).cast(scored.schema[n].dataType).alias(n) for n in out]))
+    rest = rows.filter(~usable).select(*df.columns, *[F.lit(None).cast(scored.schema[n].dataType).alias(n) for n in out])
     return scored.unionByName(rest)
 
 
