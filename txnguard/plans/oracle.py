@@ -360,7 +360,7 @@ FROM c"""
         f"sum(CASE WHEN event_time >= {_ts(a)} AND event_time < {_ts(b)} THEN {label_sql()} ELSE 0 END)::BIGINT AS n_pos FROM src"
         for i, a, b in folds)
     q["q35_model_search"] = f"""{W}, f AS ({fold_rows})
-SELECT setting, fold::INTEGER AS fold, n_train, n_valid, n_pos, 1::INTEGER AS in_range, 'deeper' AS best_setting
+SELECT setting, fold::INTEGER AS fold, n_train, n_valid, n_pos, 1::INTEGER AS in_range
 FROM f, (VALUES ('stumps'), ('deeper')) s(setting)"""
 
     mc = ModelConfig()
