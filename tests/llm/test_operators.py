@@ -4,6 +4,7 @@ rows, empty tables, clashing column names and forced hot groups."""
 import base64
 import collections
 import hashlib
+import re
 import struct
 import zlib
 
@@ -69,6 +70,44 @@ def test_op1_leaks(docs, rows, spark):
     assert got == {k: (round(s, 9), at) for k, (s, at) in want.items()} and len(got) > len(bench)
 
 
+def test_op1_repeated_shingles(spark):
+    """Items and windows that repeat a line: the part that differs may weigh much in the fingerprint."""
+    import random
+    ship_package(spark)
+    rng = random.Random(4)
+    word = lambda: "w" + "".join(rng.choice("abcdefgh") for _ in range(5))
+    bench, more = [], []
+    for i in range(30):
+        line = " ".join(word() for _ in range(5))
+        plain = " ".join(word() for _ in range(rng.randint(30, 60)))
+        k = rng.randint(1, 9)
+        bench.append((i, plain + f" {line}" * k if i % 2 else plain))
+        for j in range(4):
+            other = " ".join(word() for _ in range(5))
+            tail = [f" {other}" * rng.randint(1, 9), " " + " ".join(word() for _ in range(4 * k)), f" {line}" * rng.randint(0, 9), ""][j]
+            more.append((100 * i + j, " ".join(word() for _ in range(rng.randint(0, 20))) + " " + plain + tail + " end"))
+    df, items = table(spark, more), spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in decontaminate.leaks(df, items).collect()}
+    assert got == {k: (round(s, 9), at) for k, (s, at) in brute.leaks(more, bench).items()} and len(got) > 60
+
+
+def test_op1_far_hits_in_a_long_text():
+    """An item at both ends of a long text: bit sums are kept for the words around the hits alone."""
+    import resource
+    item = " ".join(f"item{i}" for i in range(60))
+    own = decontaminate.Items([(1, item)])
+    text = item + " " + "filler words of a long text " * 600_000 + item
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes = decontaminate.rolling.long_word_hashes(data, lower=True)
+    short = np.frombuffer(text[:400_000].encode(), np.uint8)
+    assert (hashes[:60_000] == decontaminate.rolling.word_hashes(short, np.array([0, len(short)]), True)[0][:60_000]).all()
+    grams = decontaminate._grams(hashes, 5)
+    hits = np.concatenate((np.arange(56), np.arange(len(grams) - 56, len(grams))))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert own.matches(hashes, grams, 5, hits, 0.8) == [(1, 1.0, 0)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100_000  # kilobytes
+
+
 def test_op1_blocks_of_items_give_the_same(docs, spark, monkeypatch):
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     want = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
@@ -102,7 +141,6 @@ def test_op3_substrings(docs, rows, hot, monkeypatch):
 def test_op4_token_files(docs, rows, spark, tmp_path):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
     got = token_files.token_digest(docs, P.path("word_bpe_49k.json")).orderBy("start").collect()
     start, want = 0, []
     for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
@@ -118,6 +156,21 @@ def test_op4_token_files(docs, rows, spark, tmp_path):
     assert all(by_start[r.start][2] == len(r.ids) for r in some)
 
 
+def test_op4_batches_of_many_slices(spark, monkeypatch):
+    """Several slices of one Arrow batch, texts of other alphabets and of added tokens, against the unmodified library."""
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    marks = ["", "<|endoftext|>", "x<|startoftext|>y", "<|EndOfText|>", "Ünïcödé 漢字 \U0001f600", None]
+    texts = [(i, None if m is None else f"Row {i} É{i % 97} {m} TAIL") for i in range(7000) for m in [marks[i % 6]]]
+    got = token_files.token_digest(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1),
+                                   P.path("word_bpe_49k.json"))
+    want = {}
+    for (d, t), e in zip(texts, lib.encode_batch([t or "" for _, t in texts], add_special_tokens=False), strict=True):
+        ids = [*e.ids, 2]
+        want[d] = (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got.collect()} == want
+
+
 def test_op4_file_layout(docs, tmp_path):
     import glob
 
@@ -176,6 +229,34 @@ def test_op6_held_out_accuracy(spark):
     assert sum(r.predicted == r.quality for r in held) >= 0.95 * len(held)
 
 
+def test_op6_votes_equal_a_plain_recomputation(spark):
+    """Counts, cosines and votes in plain Python, from the model's frequencies, directions and labelled vectors."""
+    import math
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    ship_package(spark)
+    model = quality.fit(docs, labels)
+
+    def plain(text):
+        raw, counts = text.encode(), [0.0] * quality.BUCKETS
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            h = (a * 0x9E3779B1 ^ b * 0x85EBCA77 ^ c * 0xC2B2AE3D) & 0xFFFFFFFF
+            h = ((h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF) >> 20
+            counts[h % quality.BUCKETS] += 1
+        weights = [math.log1p(x) * f for x, f in zip(counts, model.idf.tolist())]
+        size = math.sqrt(sum(x * x for x in weights)) or 1e-12
+        words = re.findall(r"[^\x20\x09-\x0d]+", text)
+        repeats = sum(x == y for x, y in zip(words, words[1:])) / max(len(words) - 1, 1)
+        x = np.array([w / size for w in weights] + [repeats * quality.REPEAT_WEIGHT]) @ model.directions.astype(float)
+        x /= max(np.linalg.norm(x), 1e-12)
+        sims = sorted(((float(x @ v), y) for v, y in zip(model.vectors.astype(float), model.labels)), reverse=True)[:model.k]
+        total = sum(max(s, 0) ** 8 for s, _ in sims)
+        return sum(max(s, 0) ** 8 * y for s, y in sims) / total if total > 0 else model.prior
+
+    some = [r for r in docs.collect() if r.doc_id % 5 == 0 and len(r.text or "") < 3000][:40]
+    got = {r.doc_id: r.score for r in quality.predictions(docs, labels).collect()}
+    assert max(abs(got[r.doc_id] - plain(r.text or "")) for r in some) < 1e-3
+
+
 def test_op6_only_texts_of_training_rows_matter(spark):
     docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
     flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
@@ -191,7 +272,7 @@ def test_op6_repeated_labelled_documents_reach_the_driver_once(spark, monkeypatc
     collect = type(docs).collect
     monkeypatch.setattr(type(docs), "collect", lambda self: sizes.append(len(r := collect(self))) or r)
     model = quality.fit(docs, labels)
-    assert max(sizes) <= 40
+    assert max(sizes) <= 1  # the model
     import pyarrow as pa
     known = {r.doc_id for r in collect(labels.filter(~quality.held_out()))}
     least = {}
@@ -218,6 +299,20 @@ def test_op7_round_trip(docs, rows):
     assert ordered((r.doc_id, bytes(r.decoded)) for r in decoded) == ordered((d, (t or "").encode()) for d, t in rows)
 
 
+def test_op7_batches_of_many_slices(spark):
+    import tiktoken
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [(i, None if i % 50 == 0 else f"Row {i} É{i % 97} 漢字{i} \U0001f600 TAIL") for i in range(7000)]
+    got = bpe.round_trip(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1),
+                         P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    want = []
+    for d, t in texts:
+        ids = lib.encode_ordinary(t or "")
+        want.append((d, len(ids), brute.sha(struct.pack(f"<{len(ids)}I", *ids)), brute.sha(t or "")))
+    assert ordered(map(tuple, got)) == ordered(want)
+
+
 def test_op8_sharding(docs, rows):
     got = sharding.assign_shards(docs, 24).collect()
     assert ordered((r.doc_id, r.size, r.text_crc32) for r in got) == ordered(
@@ -250,7 +345,7 @@ def test_op9_personal_data(docs, rows):
     assert len(got) == len(rows)
     want = []
     for d, t in rows:
-        base = brute.personal(t, pii.PATTERNS)
+        base = brute.personal(t, BASE)
         n = collections.Counter(k for k, _, _ in base)
         want.append((d, n["email"], n["ip"], n["card"], n["phone"], brute.sha(",".join("%s:%d:%d" % b for b in base))))
     assert ordered(tuple(r)[:6] for r in got) == ordered(want)
@@ -310,6 +405,85 @@ def test_op9_terms_far_from_their_entity(spark):
     assert got[9100] == other[0][1]
 
 
+#: The contract's patterns, as written there.
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_terms(rows):
+    """text -> words that disclose an entity it holds, straight from the definition, entity by entity."""
+    import math
+
+    import regex
+    texts = {t or "" for _, t in rows}
+    words = {t: {w.lower() for w in regex.findall(r"\p{L}{3,}", t)} for t in texts}
+    held = {t: {(k, t[s:e]) for k, s, e in brute.personal(t, BASE)} for t in texts}
+    n, n_e, df = len(texts), collections.Counter(e for h in held.values() for e in h), collections.Counter(w for x in words.values() for w in x)
+    n_et = collections.Counter((e, w) for t in texts for e in held[t] for w in words[t])
+
+    def cell(count, row, column):
+        return count * math.log(count * n / (row * column)) if count > 0 else 0.0
+
+    def tells(e, w):
+        k, a, b = n_et[e, w], n_e[e], df[w]
+        g = 2 * (cell(k, a, b) + cell(a - k, a, n - b) + cell(b - k, n - a, b) + cell(n - a - b + k, n - a, n - b))
+        own = math.log(n / a)
+        return own > 0 and math.log(k * n / (a * b)) >= 0.5 * own * (1 - 1e-12) and g >= 15.137
+    return {t: {w for w in words[t] if any(tells(e, w) for e in held[t])} for t in texts if held[t]}
+
+
+def test_op9_terms_equal_a_plain_count(spark, docs, rows):
+    import regex
+    shared = [(30_000 + i, f"{'Alpha Beta' if i < 6 else 'Gamma'} words of {_numbered(i)} a{i % 4}@b.cd and x{i % 3}@y.zz, +49 123 4567 {i % 2}")
+              for i in range(40)]
+    noise = [(31_000 + i, f"some plain words of the corpus {_numbered(i)}") for i in range(1500)]
+    every = rows + shared + noise
+    terms, want = plain_terms(every), []
+    for d, t in every:
+        t = t or ""
+        base = [(k, s, e) for k, s, e in brute.personal(t, BASE)]
+        own = [("term", m.start(), m.end()) for m in regex.finditer(r"\p{L}{3,}", t) if m[0].lower() in terms.get(t, ())]
+        own = [x for x in own if not any(x[1] < e and s < x[2] for _, s, e in base)]
+        want.append((d, ",".join("%s:%d:%d" % x for x in base + own)))
+    got = pii.find(docs.select("doc_id", "text").unionByName(spark.createDataFrame(shared + noise, "doc_id long, text string")))
+    assert ordered((r.doc_id, r.spans) for r in got.collect()) == ordered(want)
+    assert sum("term" in w for _, w in want) > 40
+
+
+def test_op9_long_texts_of_every_kind(spark):
+    """Long runs before and after an "@", a table of addresses among many words, a text of many words: no step is quadratic
+    in a text (quadratic ones took minutes for each of these)."""
+    import time
+    mb = 1 << 18
+    listed = " ".join(f"{_numbered(i % 10000)}w user{i}@host{i}.org" for i in range(3000))
+    long = [(1, "a" * mb + " x@y.zz " + "b" * mb), (2, "x@" + "c" * mb), (3, "1" * mb + ".2 9.9.9.9"), (4, "+1" + "(" * mb + " +49 1234 5678"),
+            (5, listed + " word" * 20_000), (6, " ".join(f"w{_numbered(i % 10000)}" for i in range(60_000)) + " one@two.org")]
+    noise = [(100 + i, f"some plain words of the corpus {_numbered(i)}") for i in range(300)]
+    df = table(spark, long + noise).repartition(8)
+    pii.find(table(spark, noise)).collect()  # started, compiled
+    began = time.time()
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    out = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert time.time() - began < 200
+    assert got[1].spans.startswith(f"email:{mb + 1}:{mb + 7}") and got[2].spans == "" and got[3].n_ip == 1 and got[4].n_phone == 1
+    assert got[5].n_email == 3000 and "user77@" not in out[5] and out[5].count("[email]") == 3000
+    assert out[1].count("[email]") == 1 and len(out[1]) <= 2 * mb + 10 and out[6].endswith(" [email]")
+    assert out[2] == long[1][1] and out[100] == noise[0][1]
+
+
+def test_op9_matches_that_start_inside_a_run(spark):
+    """After a match the next one may begin inside the same run of characters; overlapping blocks of text stay whole."""
+    texts = ["a@b.c_x@y.z", "a@b.c.x@y.z", "@a@b.cc", "1.2.3.4.5.6.7.8", "1.2.3.4567.8.9.10", "x@y.z%w@v.u-.a@b.c", "300.1.1.1.9.9.9.9"] * 3
+    texts += ["é\U0001f600" * 5000 + " mail a@b.cd " + "漢" * 9000 + " a@b.cd"]
+    df = table(spark, list(enumerate(texts)))
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    for i, t in enumerate(texts):
+        base = ",".join("%s:%d:%d" % b for b in brute.personal(t, BASE))
+        assert got[i].base_sha256 == brute.sha(base), t
+    out = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert out[len(texts) - 1].startswith(texts[-1][:9000]) and out[len(texts) - 1].count("[email]") == 2
+
+
 def test_op9_redact_keeps_rows_and_columns(docs, rows):
     out = pii.redact(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
@@ -371,7 +545,7 @@ def test_pipeline_stages(spark, docs):
             assert collections.Counter(r[0] for r in after) == collections.Counter(r[0] for r in before)
             found = {(r.doc_id, hashlib.sha256((r.text or "").encode()).digest()) for r in out.collect()}
             for r in before:
-                if brute.personal(r[1], pii.PATTERNS):
+                if brute.personal(r[1], BASE):
                     assert (r[0], hashlib.sha256(r[1].encode()).digest()) not in found
             want = None
         if want is not None:

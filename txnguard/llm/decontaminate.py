@@ -7,9 +7,12 @@ near guarantees to meet all items within the radius. Candidates are verified by
 their shingle multisets (each shingle weighted by its count): summed minima over summed maxima.
 
 A similarity above zero needs a shared shingle, so only windows around one are fingerprinted; nothing that
-could pass is left out. At a similarity of 0.8 the bit distance has mean 9.7 and deviation 2.9, which puts
-RADIUS over three deviations away. Documents are read in one map over whole texts without a shuffle;
-items go to the tasks in blocks of bounded size, one pass over the documents each.
+could pass is left out. Where no shingle repeats, the bit distance at a similarity of 0.8 has mean 9.7 and deviation 2.9,
+which puts RADIUS over three deviations away. A repeated shingle weighs more in a fingerprint and no radius holds: windows
+that repeat a shingle, and items that do, are verified with each other by the exact similarity alone, wherever
+they share a shingle. Documents are read in one map over whole texts without a shuffle, long ones by pieces; bit sums
+are kept for at most ``SPAN`` words at a time. Items go to the tasks in blocks of bounded size, one pass over the
+documents each, whose matches are written before the next block is sent.
 
 Words are lower-cased (A-Z) runs without white space. Items of fewer words than a shingle are one shingle.
 A document shorter than the item is one window. Defined results: null and empty texts and items match
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.llm import rolling
+from txnguard.llm.common import staged
 from txnguard.llm.simhash import _masks
 from txnguard.llm.wordwise import whole_texts
 
@@ -34,6 +38,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 4
+#: Words whose bit sums are kept at a time (64 of four bytes each).
+SPAN = 65_536
 #: Items, and bytes of their texts, that one pass over the documents takes.
 BLOCK_ITEMS = 1000
 BLOCK_BYTES = 2_000_000
@@ -65,7 +71,8 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], n: int = SHINGLE_WORDS):
         self.ids, self.sizes, self.shingles, prints = [], [], [], []
-        self.by_gram: dict[int, dict[int, set[int]]] = {}  # shingle length -> shingle hash -> item sizes
+        self.by_gram: dict[int, dict[int, dict[int, set[int]]]] = {}  # shingle length -> shingle hash -> item size -> items
+        self.repeating: set[int] = set()  # items that hold a shingle more than once
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
             hashes = rolling.word_hashes(data, np.array([0, len(data)]), lower=True)[0]
@@ -77,8 +84,10 @@ class Items:
             self.sizes.append(len(hashes))
             self.shingles.append(Counter(grams.tolist()))
             prints.append(_fingerprints(_bits(grams).sum(0, dtype=np.int64)[None, :], [len(grams)])[0])
-            for h in grams.tolist():
-                self.by_gram.setdefault(g, {}).setdefault(h, set()).add(len(hashes))
+            if len(self.shingles[-1]) < len(grams):
+                self.repeating.add(len(self.ids) - 1)
+            for h in self.shingles[-1]:
+                self.by_gram.setdefault(g, {}).setdefault(h, {}).setdefault(len(hashes), set()).add(len(self.ids) - 1)
         prints = np.array(prints, np.uint64)
         self.sizes, self.prints = np.array(self.sizes, np.int64), prints
         self.seeds = {g: np.array(sorted(m), np.uint64) for g, m in self.by_gram.items()}
@@ -105,29 +114,57 @@ class Items:
     def matches(self, hashes: np.ndarray, grams: np.ndarray, g: int, hits: np.ndarray, threshold: float):
         """(item, similarity, first word) of one document, given where it holds item shingles."""
         n, best = len(hashes), {}
-        sums = None
         wanted: dict[int, list[int]] = {}
         for p in hits.tolist():
             for size in self.by_gram[g][int(grams[p])]:
                 wanted.setdefault(size, []).append(p)
-        low, high = int(hits.min()), int(hits.max())
-        reach = max(wanted)
-        low, high = max(0, low - reach), min(len(grams), high + reach + 1)
-        sums = np.zeros((high - low + 1, 64), np.int64)
-        np.cumsum(_bits(grams[low:high]), axis=0, dtype=np.int64, out=sums[1:])
         for size, places in wanted.items():
-            own = min(size, n)
+            own, places = min(size, n), np.array(places)
             spread = own - g + 1  # shingles of a window
-            starts = np.unique(np.concatenate([np.arange(max(0, p - spread + 1), min(p, n - own) + 1) for p in places]))
-            prints = _fingerprints(sums[starts + spread - low] - sums[starts - low], [spread])
-            for start, fp in zip(starts.tolist(), prints.tolist(), strict=True):
-                for item in self.within(fp, size).tolist():
-                    s = similarity(self.shingles[item], Counter(grams[start:start + spread].tolist()))
-                    if s >= threshold and s > best.get(item, (0.0, 0))[0]:
-                        best[item] = (s, start)
+            # runs of window starts around the hits, a bounded stretch of words at a time
+            low, high = np.maximum(places - spread + 1, 0), np.minimum(places, n - own)
+            for first, last in _stretches(low, high):
+                starts = np.arange(first, last + 1)
+                part = grams[first:last + spread]
+                sums = np.zeros((len(part) + 1, 64), np.int32)
+                np.cumsum(_bits(part), axis=0, dtype=np.int32, out=sums[1:])
+                prints = _fingerprints(sums[starts - first + spread] - sums[starts - first], [spread])
+                again = _repeats(part, spread)
+                for start, fp in zip(starts.tolist(), prints.tolist(), strict=True):
+                    found = set(self.within(fp, size).tolist())
+                    if again[start - first] or self.repeating:
+                        inside = places[np.searchsorted(places, start):np.searchsorted(places, start + spread)]
+                        shared = set().union(*(self.by_gram[g][int(grams[p])].get(size, ()) for p in inside.tolist()))
+                        found |= shared if again[start - first] else shared & self.repeating
+                    if found:
+                        own_shingles = Counter(grams[start:start + spread].tolist())
+                        for item in found:
+                            s = similarity(self.shingles[item], own_shingles)
+                            if s >= threshold and s > best.get(item, (0.0, 0))[0]:
+                                best[item] = (s, start)
         return [(self.ids[i], s, start) for i, (s, start) in sorted(best.items())]
 
 
+def _stretches(low: np.ndarray, high: np.ndarray):
+    """(first, last) window starts of the union of the runs low[i] to high[i] (both ascending), cut to SPAN."""
+    new = np.nonzero(low[1:] > np.maximum.accumulate(high)[:-1] + 1)[0] + 1
+    for a, b in zip(low[np.concatenate(([0], new))].tolist(), np.maximum.accumulate(high)[np.append(new - 1, len(high) - 1)].tolist(), strict=True):
+        for first in range(a, b + 1, SPAN):
+            yield first, min(first + SPAN - 1, b)
+
+
+def _repeats(grams: np.ndarray, spread: int) -> np.ndarray:
+    """Whether the window of ``spread`` shingles from each start holds one more than once."""
+    change = np.zeros(len(grams) + 1, np.int64)
+    order = np.argsort(grams, kind="stable")
+    same = grams[order][1:] == grams[order][:-1]
+    before, after = order[:-1][same], order[1:][same]  # neighbouring places of one shingle
+    near = after - before < spread
+    np.add.at(change, np.maximum(after[near] - spread + 1, 0), 1)
+    np.add.at(change, before[near] + 1, -1)
+    return np.cumsum(change)[:max(len(grams) - spread + 1, 0)] > 0
+
+
 def _hits(grams: np.ndarray, seeds: np.ndarray, table: np.ndarray) -> np.ndarray:
     maybe = np.nonzero(table[(grams >> np.uint64(42)).astype(np.int64)])[0]
     found = seeds[np.minimum(np.searchsorted(seeds, grams[maybe]), len(seeds) - 1)] == grams[maybe]
@@ -135,6 +172,7 @@ def _hits(grams: np.ndarray, seeds: np.ndarray, table: np.ndarray) -> np.ndarray
 
 
 def _scan(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
+    """The written matches of one block of items, whose index leaves the executors after that."""
     shared = docs.sparkSession.sparkContext.broadcast(items)  # at most BLOCK_ITEMS items of BLOCK_BYTES together
 
     def run(batches):
@@ -146,7 +184,11 @@ def _scan(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
         for b in batches:
             at, ids, sims, starts = [], [], [], []
             for row, offsets, data in rolling.chunks(whole_texts(b)):
-                hashes, _, _, ends = rolling.word_hashes(data, offsets, lower=True)
+                if len(offsets) == 2:
+                    hashes = rolling.long_word_hashes(data, lower=True)
+                    ends = np.array([0, len(hashes)])
+                else:
+                    hashes, _, _, ends = rolling.word_hashes(data, offsets, lower=True)
                 for g, seeds in own.seeds.items():
                     grams = _grams(hashes, g)
                     hits = _hits(grams, seeds, tables[g])
@@ -167,7 +209,9 @@ def _scan(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
                 ["doc_id", "item_id", "similarity", "start_word"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {id_type}, item_id long, similarity double, start_word long")
+    out = staged(docs.mapInArrow(run, f"doc_id {id_type}, item_id long, similarity double, start_word long"), "leaks")
+    shared.destroy()
+    return out
 
 
 def _blocks(benchmark: DataFrame):

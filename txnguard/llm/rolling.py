@@ -94,6 +94,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False):
     return range_hash(sums, starts, ends), starts, ends, np.concatenate(([0], np.cumsum(counts)))
 
 
+def long_word_hashes(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash per word of one text, piece by piece: a hash does not depend on the word's place."""
+    out, at = [], 0
+    while at < len(data):
+        end = at + CHUNK_BYTES
+        while end < len(data) and not SPACES[data[end - 1]]:  # a piece ends after a space
+            gap = np.nonzero(SPACES[data[end:end + CHUNK_BYTES]])[0]
+            end = end + int(gap[0]) + 1 if len(gap) else end + CHUNK_BYTES
+        piece = data[at:end]
+        out.append(word_hashes(piece, np.array([0, len(piece)]), lower)[0])
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbours (one per window start)."""
     n = len(keys)
