@@ -470,7 +470,11 @@ def q15_stream_hot_sender(spark, sf):
     sums = SecondSums(spark, out + "/state", CFG)
 
     def write(batch, batch_id):
-        write_batch_parquet(sums.add(batch, batch_id), out + "/data", batch_id)
+        batch = batch.persist()  # read for the state's rows and again for the output
+        try:
+            write_batch_parquet(sums.add(batch, batch_id), out + "/data", batch_id)
+        finally:
+            batch.unpersist()
         sums.tidy(batch_id)
 
     _finish(stream.writeStream.foreachBatch(write).option("checkpointLocation", out + "/_checkpoint")

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from txnguard.sources.wire import read_transactions
 
 
+#: Rows of a slice for which another task is worth its start.
+TASK_ROWS = 5_000
+
+
 def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | list | None = None,
                      files_per_slice: int | None = None, rows_per_file: int = 1_000_000,
                      last: Column | None = None) -> int:
@@ -21,10 +25,10 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
     other, because the file source orders files by modification time; a later
     slice then never holds events older than an earlier slice's watermark.
 
-    Each slice is written by ``files_per_slice`` parallel tasks (default: enough
-    that a file holds at most ``rows_per_file`` rows, from the staging row count;
-    no slice goes through a single task at scale). A slice that came out with fewer
-    files (empty round-robin partitions) is padded with empty files, so every
+    Each slice is written by ``files_per_slice`` parallel tasks (default: from the staging row count, a file a core
+    as long as it holds ``TASK_ROWS`` rows, and enough that a file holds at most ``rows_per_file``; the stream reads
+    a file in one task, so its parallelism is that of the files). A slice that came out with fewer
+    files (empty partitions) is padded with empty files, so every
     trigger of ``files_per_slice`` files holds exactly one slice.
 
     ``last``: a condition on the payload's fields; rows that meet it are held back and delivered as one more
@@ -49,15 +53,16 @@ def write_wire_files(wire: DataFrame, path: str, n_files: int, only: range | lis
          .sortWithinPartitions("_order")
          .write.mode("overwrite").parquet(staging))
     keyed = spark.read.parquet(staging)
-    k = files_per_slice or max(1, -(-keyed.count() // (n_files * rows_per_file)))
-    lo, hi = keyed.agg(F.min("_order"), F.max("_order")).first()
+    rows, lo, hi = keyed.agg(F.count(F.lit(1)), F.min("_order"), F.max("_order")).first()
+    k = files_per_slice or max(1, -(-rows // (n_files * rows_per_file)),
+                               min(spark.sparkContext.defaultParallelism, rows // (n_files * TASK_ROWS)))
     step = max(1, -(-(hi - lo + 1) // n_files))
     for i in (only if only is not None else range(n_files + (last is not None))):
         lo_i, hi_i = lo + i * step, lo + (i + 1) * step
         wanted = F.col("_late") if i == n_files else ~F.col("_late") & (F.col("_order") >= lo_i) & (F.col("_order") < hi_i)
         part = keyed.filter(wanted).select("value", "timestamp")
         before = _n_files(spark, path)
-        (part.coalesce(1) if k == 1 else part.repartition(k)).write.mode("append").parquet(path)
+        (part.coalesce(1) if k == 1 else part.repartition(k, "value", "timestamp")).write.mode("append").parquet(path)
         for _ in range(k - (_n_files(spark, path) - before)):
             part.limit(0).write.mode("append").parquet(path)   # one empty file each
     return k

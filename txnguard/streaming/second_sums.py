@@ -28,6 +28,8 @@ from txnguard.streaming.batch_tables import BatchTable
 ROWS = StructType().add("key", "string").add("us", "long").add("x", "long").add("slot", "long")
 SECONDS = (StructType().add("key", "string").add("sec", "long").add("n", "long").add("k", "long").add("s", "long")
            .add("q", DecimalType(38, 0)).add("slot", "long"))
+#: Rows of a batch that one task writes to the state.
+FILE_ROWS = 1_000_000
 
 
 class SecondSums:
@@ -56,8 +58,10 @@ class SecondSums:
         mark = self.watermark(batch_id)
         bare = batch.select(F.col(self.key).cast("string").alias("key"), F.col("_us").alias("us"),
                             amount_units(self.amount).alias("x"), F.floor(F.col("_us") / (unit * self.slot)).alias("slot"))
-        top = batch.agg(F.max("_us")).first()[0]
-        part = self.rows.append(bare.filter("key is not null and us is not null"), batch_id,
+        n_rows, top = batch.agg(F.count(F.lit(1)), F.max("_us")).first()
+        # a task writes a file a slot: as many tasks as cores, not as shuffle partitions
+        tasks = max(batch.sparkSession.sparkContext.defaultParallelism, -(-n_rows // FILE_ROWS))
+        part = self.rows.append(bare.filter("key is not null and us is not null").coalesce(tasks), batch_id,
                                 {} if top is None else {"max_us": top})
         mine = [int(f.split("=")[1]) for f in part["folders"]]
         new = self._of(self.rows, ROWS, batch_id, batch_id, mine)
@@ -66,7 +70,7 @@ class SecondSums:
                 .agg(F.sum(x["_n2"]).alias("n"), F.sum(x["_k2"]).alias("k"), F.sum(x["_s2"]).alias("s"),
                      F.sum(x["_q2"]).cast("decimal(38,0)").alias("q")))
         self.seconds.append(sums, batch_id)
-        touched = self._of(self.seconds, SECONDS, batch_id, batch_id, mine).select("key", "sec").distinct()
+        touched = self._of(self.seconds, SECONDS, batch_id, batch_id, mine).select("key", "sec")  # once each in a part
 
         base = self._whole_seconds(touched, batch_id, mine)
         edge = self._edge_seconds(new, touched, batch_id, mine)
