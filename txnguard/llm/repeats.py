@@ -87,21 +87,31 @@ def column(batch, name: str) -> np.ndarray:
         else batch.column(name).to_numpy()
 
 
+#: Stretches that a map task settles and sends on together; what it holds does not grow with the rows of a batch.
+SETTLED_AT_ONCE = 100_000
+
+
 def stretches(docs: DataFrame, symbols: Symbols, window: int, gram: int, within: bool, settled: bool) -> DataFrame:
     """One row per stretch of ``tagged`` documents: owner, whole, doc_id, tag, first, n, place. ``settled`` picks
-    the rows that repeat an earlier one of the same batch (else all others). ``within``: an earlier place in
-    the same document counts too."""
+    the rows that repeat an earlier one of the same part of a batch, neighbouring texts with
+    ``SETTLED_AT_ONCE`` stretches (else all others). ``within``: an earlier place in the same document counts too."""
+
+    def parts_of(b):
+        parts, size = [], 0
+        for row, offsets, data in rolling.chunks(whole_texts(b)):
+            got = stretches_of(symbols, data, offsets, window, gram)
+            if got is not None:
+                parts.append((got[0] + row, *got[1:]))
+                size += len(got[0])
+            if size >= SETTLED_AT_ONCE:
+                yield parts
+                parts, size = [], 0
+        if parts:
+            yield parts
 
     def run(batches):
-        for b in batches:
+        for b, parts in ((b, parts) for b in batches for parts in parts_of(b)):
             ids, tags = column(b, "doc_id"), column(b, "tag")
-            parts = []
-            for row, offsets, data in rolling.chunks(whole_texts(b)):
-                got = stretches_of(symbols, data, offsets, window, gram)
-                if got is not None:
-                    parts.append((got[0] + row, *got[1:]))
-            if not parts:
-                continue
             text, owner, whole, first, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
             repeat = repeat_flags([owner ^ rolling.mix(whole)], ids[text], tags[text], first, within)
             keep = np.nonzero(repeat if settled else ~repeat)[0]
