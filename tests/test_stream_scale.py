@@ -24,7 +24,7 @@ def test_a_slice_has_a_file_a_core(spark, workdir):
 
 
 def test_payments_are_made_on_all_cores(spark):
-    plan = fx.transaction_source(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    plan = fx.transaction_source(spark, SF_SMALL, spread=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [event_id" in plan and plan.index("get_json_object") < plan.index("RepartitionByExpression")
 
 

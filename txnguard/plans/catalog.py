@@ -433,7 +433,7 @@ def _wire_stream(spark, sf, faults=False, duplicates=False, n_files=4, last=None
     """The derived wire rows laid down as event-time slices, replayed one slice per
     trigger by the file source."""
     path = new_work_path(spark, "wire")
-    wire = wire_rows(fx.transaction_source(spark, sf), SPEC, faults=faults, duplicates=duplicates)
+    wire = wire_rows(fx.transaction_source(spark, sf, spread=True), SPEC, faults=faults, duplicates=duplicates)
     k = runner.write_wire_files(wire, path, n_files, last=last)
     return runner.read_wire_stream(spark, path, files_per_trigger=k)
 
@@ -464,7 +464,7 @@ def _hot_sender(src: DataFrame) -> DataFrame:
 def q15_stream_hot_sender(spark, sf):
     """V4 on summaries a second: a third of the feed has one sender; velocity of every row at the original's windows."""
     path = new_work_path(spark, "wire")
-    k = runner.write_wire_files(wire_rows(_hot_sender(fx.transaction_source(spark, sf)), SPEC), path, 4)
+    k = runner.write_wire_files(wire_rows(_hot_sender(fx.transaction_source(spark, sf, spread=True)), SPEC), path, 4)
     stream = parse_transactions(runner.read_wire_stream(spark, path, files_per_trigger=k))
     out = new_work_path(spark, "q15-hot")
     sums = SecondSums(spark, out + "/state", CFG)
@@ -485,7 +485,7 @@ def q15_stream_hot_sender(spark, sf):
 def q17_stream_dedup(spark, sf):
     """V8 keyed by the id alone: every redelivery has another sender, time and amount than the first delivery."""
     path = new_work_path(spark, "wire")
-    src = fx.transaction_source(spark, sf)
+    src = fx.transaction_source(spark, sf, spread=True)
     k = runner.write_wire_files(wire_rows(src, SPEC), path, 3)
     later = F.timestamp_add("DAY", F.lit(40), F.col("event_time"))
     again = src.filter(F.col("event_id") % SPEC.duplicate_mod == 0).withColumns(

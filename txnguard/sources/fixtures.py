@@ -31,20 +31,21 @@ def _pad(prefix: str, num: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(num.cast("string"), width, "0"))
 
 
-def transaction_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transaction_source(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """events -> 16 payment fields plus the source keys (event_id, user_id, k).
 
     ``event_time`` keeps the TIMESTAMP_NTZ type of the table (wall-clock UTC), so
     calendar features and range windows never depend on the session time zone.
 
-    The table's few files are narrow, the payments made of them wide: rows are dealt to all cores before.
+    ``spread``: the table's few files are narrow, the wire rows made of them wide; rows are dealt to all cores before.
     """
     ev = read_table(spark, sf_dir, "events")
     n_users = ev.select((F.max("user_id") + 1).alias("n")).scalar()  # scalar subquery
+    if spread:
+        ev = ev.select("event_id", "user_id", "event_type", "value", "ts", "props").repartition("event_id", "ts")
     eid, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     return (ev
-            .select("event_id", "user_id", "event_type", "value", "ts", "props").repartition("event_id", "ts")
             .select("event_id", "user_id", "event_type", "value", "ts", k.alias("k"))
             .select(
                 "event_id", "user_id", "k",
