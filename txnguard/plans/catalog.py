@@ -290,10 +290,19 @@ def _kept(spark, key: str, make):
     return kept[key]
 
 
+#: What the model queries read of a payment: its id and time, the model's inputs and the label.
+MODEL_COLUMNS = ("txn_id", "event_time", *MCFG.numeric_features, *MCFG.categorical_features, MCFG.label)
+
+
+def feature_table(spark, sf) -> DataFrame:
+    """Every payment's ``MODEL_COLUMNS``, written once per session and table folder: the windows and joins before carry no
+    other column."""
+    return _kept(spark, f"features:{sf}", lambda: materialize(labelled(spark, sf).select(*MODEL_COLUMNS), "features"))
+
+
 def split(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of one written feature table: joins and windows run once for both parts."""
-    table = _kept(spark, f"features:{sf}", lambda: materialize(labelled(spark, sf), "features"))
-    return ml.time_split(table, SPEC.score_from)
+    """(train, test) of the written feature table: joins and windows run once for both parts."""
+    return ml.time_split(feature_table(spark, sf), SPEC.score_from)
 
 
 def fitted(spark, sf):
@@ -422,8 +431,7 @@ SEARCH_SETTINGS = {"stumps": {"max_iter": 3, "max_depth": 1}, "deeper": {"max_it
 def q35_model_search(spark, sf):
     """M11: two settings on two rolling-origin folds of the feature table; the sizes of each fold's parts, and whether the
     area lies between 0 and 1 (which setting is better only a fit can tell; a test compares areas with single fits)."""
-    table = _kept(spark, f"features:{sf}", lambda: materialize(labelled(spark, sf), "features"))
-    got = rolling_search(table, SEARCH_SETTINGS, SEARCH_CUTS, MCFG)
+    got = rolling_search(feature_table(spark, sf), SEARCH_SETTINGS, SEARCH_CUTS, MCFG)
     return got.select("setting", "fold", "n_train", "n_valid", "n_pos", F.col("pr_auc").between(0, 1).cast("int").alias("in_range"))
 
 
